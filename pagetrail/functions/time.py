@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _epoch_ntz() -> Column:
-    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-
-
 def is_ntz(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.TimestampNTZType)
 
@@ -25,17 +21,28 @@ def dtype_of(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
+def _ntz_day_and_clock(c: Column) -> tuple[Column, Column, Column]:
+    # Calendar arithmetic only: a cast of timestamp_ntz to date and the
+    # hour/minute fields never consult a time zone (unlike a cast to
+    # timestamp, which timestampdiff performs on its inputs).
+    days = F.unix_date(F.to_date(c)).cast("long")
+    return days, F.hour(c).cast("long"), F.minute(c).cast("long")
+
+
 def epoch_millis(c: Column, dtype: T.DataType) -> Column:
-    """Milliseconds since 1970-01-01 UTC, truncated like ``Timestamp.getTime``."""
+    """Milliseconds since 1970-01-01 UTC, floored like ``Timestamp.getTime``."""
     if is_ntz(dtype):
-        return F.timestamp_diff("MILLISECOND", _epoch_ntz(), c)
+        days, hh, mm = _ntz_day_and_clock(c)
+        sec_ms = F.floor(F.date_part(F.lit("SECOND"), c) * 1000).cast("long")
+        return days * 86_400_000 + hh * 3_600_000 + mm * 60_000 + sec_ms
     return F.unix_millis(c)
 
 
 def epoch_seconds(c: Column, dtype: T.DataType) -> Column:
     """Whole seconds since the epoch (what ``cast(ts as long)`` gives)."""
     if is_ntz(dtype):
-        return F.timestamp_diff("SECOND", _epoch_ntz(), c)
+        days, hh, mm = _ntz_day_and_clock(c)
+        return days * 86_400 + hh * 3_600 + mm * 60 + F.second(c).cast("long")
     return F.unix_seconds(c)
 
 

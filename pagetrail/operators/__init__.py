@@ -1,4 +1,4 @@
-from pagetrail.operators.joins import bounded_broadcast, materialize
+from pagetrail.operators.joins import bounded_broadcast, materialize, spread
 from pagetrail.operators.keyed import keyed_upsert, multi_get, prefix_scan, range_scan
 from pagetrail.operators.topk import order_columns, top_k, top_per_group
 
@@ -10,6 +10,7 @@ __all__ = [
     "order_columns",
     "prefix_scan",
     "range_scan",
+    "spread",
     "top_k",
     "top_per_group",
 ]

@@ -38,3 +38,16 @@ def bounded_broadcast(
         df = materialize(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan is narrower than that.
+
+    A scan gets one task per file split; a small input stored as one row
+    group then runs CPU-heavy work (tokenising, iterative fitting) in a
+    single task. On big inputs the scan is already wider than the cluster
+    and this returns ``df`` unchanged, so no shuffle is added at scale.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df

@@ -57,13 +57,20 @@ def keyed_upsert(
         rows = tgt.unionByName(upd, allowMissingColumns=True)
     else:
         rows = upd
+    counted = [F.sum(F.col(_BATCH)).cast("long").alias(count_as)] if count_as else []
+    if target is None and not any(upd.schema[c].nullable for c in cells):
+        # No cell can be absent, so every cell of a key comes from the same
+        # winning put: one arg-max of the whole row instead of one per cell.
+        fields = [F.col(_BATCH), *[F.col(v) for v in version], *[F.col(c) for c in cells]]
+        names = [_BATCH, *[f"__v{i}" for i in range(len(version))], *cells]
+        win = F.max(F.struct(*[f.alias(n) for f, n in zip(fields, names)])).alias("__win")
+        out = rows.groupBy(key).agg(win, *counted)
+        return out.select(key, *[F.col("__win")[c].alias(c) for c in cells], *([count_as] if count_as else []))
     order = F.struct(F.col(_BATCH), *[F.col(v) for v in version])
     merged = [
         F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in cells
     ]
-    if count_as:
-        merged.append(F.sum(F.col(_BATCH)).cast("long").alias(count_as))
-    return rows.groupBy(key).agg(*merged)
+    return rows.groupBy(key).agg(*merged, *counted)
 
 
 def multi_get(

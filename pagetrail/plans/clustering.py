@@ -23,7 +23,11 @@ def assemble(points: DataFrame) -> DataFrame:
 
 
 def fit(points: DataFrame, k: int, seed: int = KMEANS_SEED, max_iter: int = 20) -> KMeansModel:
-    """Fit k-means (k-means|| initialisation, other settings default)."""
+    """Fit k-means (k-means|| initialisation, other settings default).
+
+    Every iteration is a distributed pass over the cached points (partial
+    sums per task; only k centres per task reach the driver).
+    """
     return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(assemble(points))
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagetrail.operators.joins import spread
+
 # What separates words.
 WORD_SEPARATOR = "[^a-z0-9]+"
 
@@ -17,7 +19,7 @@ WORD_SEPARATOR = "[^a-z0-9]+"
 def words(texts: DataFrame, column: str = "text") -> DataFrame:
     """One row per word occurrence (column ``word``)."""
     tokens = F.explode(F.split(F.lower(F.col(column)), WORD_SEPARATOR)).alias("word")
-    return texts.select(tokens).where(F.col("word") != "")
+    return spread(texts.select(column)).select(tokens).where(F.col("word") != "")
 
 
 def word_count(texts: DataFrame, column: str = "text") -> DataFrame:

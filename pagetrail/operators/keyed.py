@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.functions.keys import prefix_successor
@@ -37,6 +37,7 @@ def keyed_upsert(
     key: str = ROW_KEY,
     target: DataFrame | None = None,
     count_as: str | None = None,
+    count_where: Column | None = None,
 ) -> DataFrame:
     """Last-writer-wins merge of ``updates`` into ``target`` (None = empty).
 
@@ -44,20 +45,22 @@ def keyed_upsert(
     event time then a unique id); every row of ``updates`` is later than
     every row of ``target``. Rows without a key cannot be stored in a keyed
     table and are not written. Returns ``key`` + ``cells`` (+ ``count_as``,
-    the number of update rows put on each key, when given).
+    the number of update rows put on each key — only those satisfying
+    ``count_where`` when given).
     """
     cells = list(cells)
     version = [v for v in version]
     extra = [v for v in version if v not in cells]
-    upd = updates.where(F.col(key).isNotNull()).select(key, *cells, *extra)
-    upd = upd.withColumn(_BATCH, F.lit(1))
+    upd = updates.where(F.col(key).isNotNull())
+    counted_flag = (count_where if count_where is not None else F.lit(True)).cast("long")
+    upd = upd.select(key, *cells, *extra, F.lit(1).alias(_BATCH), counted_flag.alias("__counted"))
     if target is not None:
         tgt = target.select(key, *[c for c in cells if c in target.columns])
-        tgt = tgt.withColumn(_BATCH, F.lit(0))
+        tgt = tgt.withColumn(_BATCH, F.lit(0)).withColumn("__counted", F.lit(0).cast("long"))
         rows = tgt.unionByName(upd, allowMissingColumns=True)
     else:
         rows = upd
-    counted = [F.sum(F.col(_BATCH)).cast("long").alias(count_as)] if count_as else []
+    counted = [F.sum(F.col("__counted")).cast("long").alias(count_as)] if count_as else []
     if target is None and not any(upd.schema[c].nullable for c in cells):
         # No cell can be absent, so every cell of a key comes from the same
         # winning put: one arg-max of the whole row instead of one per cell.

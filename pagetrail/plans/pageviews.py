@@ -23,9 +23,10 @@ def top_url_per_guid_day(log: DataFrame) -> DataFrame:
     """Most visited path of each visitor on each day.
 
     Columns: guid, timeCreate (the day), path, access_count, rank. Ties go to
-    the smaller path. Plan: count per (guid, day, path) with partial
-    aggregation, then an arg-max aggregation per (guid, day) — two hash
-    aggregations, no window sort.
+    the smaller path. Plan: count per (guid, day, path) (hash aggregation
+    with a map-side partial step), then an arg-max aggregation per
+    (guid, day), also partial before its shuffle — a hot visitor is folded
+    map-side, and no group is buffered whole as a window would.
     """
     daily = log.select("guid", F.to_date("timeCreate").alias("timeCreate"), "path")
     counts = daily.groupBy("guid", "timeCreate", "path").agg(F.count(F.lit(1)).alias("access_count"))
@@ -34,9 +35,22 @@ def top_url_per_guid_day(log: DataFrame) -> DataFrame:
     ).select("guid", "timeCreate", "path", "access_count", "rank")
 
 
+def distinct_count(log: DataFrame, key: str, of: str, alias: str) -> DataFrame:
+    """``count(DISTINCT of)`` per ``key``, safe when one key is hot.
+
+    The (key, of) pairs are de-duplicated with a shuffle on *both* columns,
+    then counted per key with partial aggregation (one row per key per
+    task crosses the second shuffle). A plain distinct aggregate shuffles
+    the pairs on ``key`` alone, so a hot address with millions of visitors
+    would land in one task.
+    """
+    pairs = log.select(key, of).distinct()
+    return pairs.groupBy(key).agg(F.count(of).alias(alias))
+
+
 def top_ips_by_guid(log: DataFrame, n: int = TOP_IPS) -> DataFrame:
     """The ``n`` addresses used by the most distinct visitors (ip, guid_count)."""
-    per_ip = log.groupBy("ip").agg(F.count_distinct("guid").alias("guid_count"))
+    per_ip = distinct_count(log, "ip", "guid", "guid_count")
     return top_k(per_ip, [("guid_count", "desc"), ("ip", "asc")], n)
 
 
@@ -48,7 +62,7 @@ def top_domains(log: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
 
 def top_locations_by_ip(log: DataFrame, n: int = TOP_LOCATIONS) -> DataFrame:
     """The ``n`` locations with the most distinct addresses (locId, unique_ip_count)."""
-    per_loc = log.groupBy("locId").agg(F.count_distinct("ip").alias("unique_ip_count"))
+    per_loc = distinct_count(log, "locId", "ip", "unique_ip_count")
     return top_k(per_loc, [("unique_ip_count", "desc"), ("locId", "asc")], n)
 
 

@@ -89,9 +89,7 @@ QUERIES: dict[str, Query] = {
     "emp_dept_managers": lambda s, sf: workforce.department_managers(
         _keyed_dept_emp(s, sf), fixtures.dept_emp(s, sf), DEPT_NO
     ),
-    "emp_payroll_on_date": lambda s, sf: workforce.payroll_on(
-        workforce.load_salaries(fixtures.salaries(s, sf)), fixtures.salaries(s, sf), PAYROLL_DATE
-    ),
+    "emp_payroll_on_date": lambda s, sf: workforce.payroll_on(fixtures.salaries(s, sf), PAYROLL_DATE),
     "emp_titles": lambda s, sf: workforce.titles_of(
         workforce.load_titles(fixtures.titles(s, sf)), fixtures.titles(s, sf), EMP_NO
     ),

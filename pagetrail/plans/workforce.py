@@ -138,21 +138,36 @@ def _as_date(d: str | dt.date) -> F.Column:
     return F.lit(d if isinstance(d, dt.date) else dt.date.fromisoformat(d))
 
 
-def payroll_on(keyed_salaries: DataFrame, salaries: DataFrame, on: str | dt.date) -> DataFrame:
+def payroll_on(
+    salaries: DataFrame, on: str | dt.date, keyed_salaries: DataFrame | None = None
+) -> DataFrame:
     """Sum of the salaries in force on a date (one row ``total_salary``).
 
-    In force means ``from_date < on < to_date`` (both strict). A key whose
-    salary cell is absent counts 0; no salary at all gives 0. The key list
-    keeps every salary row in force, so it is the streamed side of a left
-    join; Spark shuffles it against the keyed table (already partitioned by
-    key from its load) and AQE splits skewed partitions.
+    In force means ``from_date < on < to_date`` (both strict). Every salary
+    row in force names a key; the salary stored under that key is added
+    once per such row, an absent salary cell counts 0, and no row at all
+    gives 0.
+
+    With ``keyed_salaries=None`` the keyed table is the one loaded from these
+    same rows, and the look-up folds into the load: one aggregation per key
+    yields the stored salary and the number of in-force rows naming the key,
+    so no join is needed. With a stored keyed table the in-force keys are
+    left-joined to it (shuffled on the key; AQE splits skewed partitions).
     """
     d = _as_date(on)
-    keys = salaries.where((F.col("from_date") < d) & (F.col("to_date") > d)).select(
-        join_key("emp_no", "from_date").alias(ROW_KEY)
-    )
-    got = multi_get(keyed_salaries, keys, ["salary"], keep_missing=True)
-    return got.agg(F.coalesce(F.sum(F.coalesce(F.col("salary"), F.lit(0))), F.lit(0)).cast("long").alias("total_salary"))
+    in_force = (F.col("from_date") < d) & (F.col("to_date") > d)
+    if keyed_salaries is None:
+        puts = _dated_puts(salaries, "salary").withColumn("__in_force", in_force)
+        per_key = keyed_upsert(
+            puts, ["salary"], count_as="n_in_force", count_where=F.col("__in_force")
+        )
+        amount = F.coalesce(F.col("salary"), F.lit(0)) * F.col("n_in_force")
+        got = per_key.where(F.col("n_in_force") > 0).select(amount.alias("amount"))
+    else:
+        keys = salaries.where(in_force).select(join_key("emp_no", "from_date").alias(ROW_KEY))
+        got = multi_get(keyed_salaries, keys, ["salary"], keep_missing=True)
+        got = got.select(F.coalesce(F.col("salary"), F.lit(0)).alias("amount"))
+    return got.agg(F.coalesce(F.sum("amount"), F.lit(0)).cast("long").alias("total_salary"))
 
 
 def title_dates(titles: DataFrame) -> DataFrame:

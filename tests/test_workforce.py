@@ -57,11 +57,16 @@ def test_payroll_strict_bounds_and_empty(spark):
         "emp_no long, salary long, from_date date, to_date date",
     )
     keyed = W.load_salaries(sal)
-    assert W.payroll_on(keyed, sal, "1999-01-01").collect()[0].total_salary == 700
-    assert W.payroll_on(keyed, sal, "1900-01-01").collect()[0].total_salary == 0
+    for k in (None, keyed):
+        assert W.payroll_on(sal, "1999-01-01", k).collect()[0].total_salary == 700
+        assert W.payroll_on(sal, "1900-01-01", k).collect()[0].total_salary == 0
     # a key whose salary cell is absent counts 0
     partial = keyed.where("row_key <> '4_1998-01-01'")
-    assert W.payroll_on(partial, sal, "1999-01-01").collect()[0].total_salary == 300
+    assert W.payroll_on(sal, "1999-01-01", partial).collect()[0].total_salary == 300
+    # a duplicated in-force row names its key twice
+    dup = sal.union(sal.where("emp_no = 3"))
+    assert W.payroll_on(dup, "1999-01-01").collect()[0].total_salary == 1000
+    assert W.payroll_on(dup, "1999-01-01", W.load_salaries(dup)).collect()[0].total_salary == 1000
 
 
 def test_titles_of_employee(spark):

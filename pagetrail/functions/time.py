@@ -4,6 +4,9 @@ Driver tables carry ``timestamp_ntz`` (wall clock, read as UTC); a log read
 with the declared page-view schema carries zoned ``timestamp``. Each helper
 takes the column's data type so it can pick a zone-free expression for
 ``timestamp_ntz`` and the instant-based one for ``timestamp``.
+
+Every helper has a ``*_sql`` form returning SQL text for a column name, so
+wide projections can be issued as one ``selectExpr``.
 """
 
 from __future__ import annotations
@@ -21,41 +24,60 @@ def dtype_of(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
-def _ntz_day_and_clock(c: Column) -> tuple[Column, Column, Column]:
-    # Calendar arithmetic only: a cast of timestamp_ntz to date and the
-    # hour/minute fields never consult a time zone (unlike a cast to
-    # timestamp, which timestampdiff performs on its inputs).
-    days = F.unix_date(F.to_date(c)).cast("long")
-    return days, F.hour(c).cast("long"), F.minute(c).cast("long")
+def q(name: str) -> str:
+    """Quote a column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
 
+# For timestamp_ntz only calendar arithmetic is used: a cast to date and the
+# hour / minute / second fields never consult a time zone (unlike a cast to
+# timestamp, which timestampdiff performs on its inputs).
 
-def epoch_millis(c: Column, dtype: T.DataType) -> Column:
+
+def epoch_millis_sql(name: str, dtype: T.DataType) -> str:
     """Milliseconds since 1970-01-01 UTC, floored like ``Timestamp.getTime``."""
+    c = q(name)
     if is_ntz(dtype):
-        days, hh, mm = _ntz_day_and_clock(c)
-        sec_ms = F.floor(F.date_part(F.lit("SECOND"), c) * 1000).cast("long")
-        return days * 86_400_000 + hh * 3_600_000 + mm * 60_000 + sec_ms
-    return F.unix_millis(c)
+        return (
+            f"(CAST(unix_date(CAST({c} AS DATE)) AS BIGINT) * 86400000"
+            f" + CAST(hour({c}) AS BIGINT) * 3600000 + CAST(minute({c}) AS BIGINT) * 60000"
+            f" + CAST(floor(date_part('SECOND', {c}) * 1000) AS BIGINT))"
+        )
+    return f"unix_millis({c})"
 
 
-def epoch_seconds(c: Column, dtype: T.DataType) -> Column:
+def epoch_seconds_sql(name: str, dtype: T.DataType) -> str:
     """Whole seconds since the epoch (what ``cast(ts as long)`` gives)."""
+    c = q(name)
     if is_ntz(dtype):
-        days, hh, mm = _ntz_day_and_clock(c)
-        return days * 86_400 + hh * 3_600 + mm * 60 + F.second(c).cast("long")
-    return F.unix_seconds(c)
+        return (
+            f"(CAST(unix_date(CAST({c} AS DATE)) AS BIGINT) * 86400"
+            f" + CAST(hour({c}) AS BIGINT) * 3600 + CAST(minute({c}) AS BIGINT) * 60"
+            f" + CAST(second({c}) AS BIGINT))"
+        )
+    return f"unix_seconds({c})"
 
 
-def hour_floor(c: Column, dtype: T.DataType) -> Column:
+def hour_floor_sql(name: str, dtype: T.DataType) -> str:
     """Truncate to the hour, keeping the input type."""
+    c = q(name)
     if is_ntz(dtype):
-        return F.make_timestamp_ntz(
-            F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.lit(0), F.lit(0)
-        )
-    return F.date_trunc("hour", c)
+        return f"make_timestamp_ntz(year({c}), month({c}), day({c}), hour({c}), 0, 0)"
+    return f"date_trunc('hour', {c})"
+
+
+def epoch_millis(name: str, dtype: T.DataType) -> Column:
+    return F.expr(epoch_millis_sql(name, dtype))
+
+
+def epoch_seconds(name: str, dtype: T.DataType) -> Column:
+    return F.expr(epoch_seconds_sql(name, dtype))
+
+
+def hour_floor(name: str, dtype: T.DataType) -> Column:
+    return F.expr(hour_floor_sql(name, dtype))
 
 
 def seconds_interval(seconds: int | float) -> Column:
     """A day-time interval of ``seconds`` seconds (works for both time types)."""
     return F.expr(f"INTERVAL '{float(seconds)!r}' SECOND")
-

@@ -30,13 +30,38 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Row counts already measured in this session, keyed by the canonical plan
+# and its input files: like table statistics from ANALYZE TABLE, an
+# immutable input is counted once. Only the "fits / does not fit" answer is
+# kept, never data.
+_MEASURED: dict[tuple, int] = {}
+
+
+def _count_up_to(df: DataFrame, limit: int) -> int:
+    files = tuple(sorted(df.inputFiles()))
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files, limit) if files else None
+    if key is not None and key in _MEASURED:
+        return _MEASURED[key]
+    n = df.limit(limit).count()
+    if key is not None:
+        _MEASURED[key] = n
+    return n
+
+
 def bounded_broadcast(
     df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, materialize_first: bool = False
 ) -> DataFrame:
-    """Return ``df`` hinted for broadcast if it has at most ``max_rows`` rows."""
+    """Return ``df`` hinted for broadcast if it has at most ``max_rows`` rows.
+
+    The count stops after ``max_rows + 1`` rows. Over file inputs the
+    answer is remembered for the session; a ``materialize_first`` side is a
+    fresh checkpoint and is always counted.
+    """
     if materialize_first:
         df = materialize(df)
-    n = df.limit(max_rows + 1).count()
+        n = df.limit(max_rows + 1).count()
+    else:
+        n = _count_up_to(df, max_rows + 1)
     return F.broadcast(df) if n <= max_rows else df
 
 

@@ -24,7 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.functions.keys import prefix_successor
+from pagetrail.functions.time import q
 from pagetrail.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from pagetrail.operators.topk import top_per_group
 from pagetrail.schemas import ROW_KEY
 
 _BATCH = "__batch"
@@ -63,15 +65,22 @@ def keyed_upsert(
     counted = [F.sum(F.col("__counted")).cast("long").alias(count_as)] if count_as else []
     if target is None and not any(upd.schema[c].nullable for c in cells):
         # No cell can be absent, so every cell of a key comes from the same
-        # winning put: one arg-max of the whole row instead of one per cell.
-        fields = [F.col(_BATCH), *[F.col(v) for v in version], *[F.col(c) for c in cells]]
-        names = [_BATCH, *[f"__v{i}" for i in range(len(version))], *cells]
-        win = F.max(F.struct(*[f.alias(n) for f, n in zip(fields, names)])).alias("__win")
+        # winning put: pick whole puts, not one arg-max per cell.
+        if not count_as:
+            # row_number = 1 per key, cut to one row per key and task
+            # before the shuffle (partial WindowGroupLimit).
+            best = top_per_group(upd, [key], [(v, "desc") for v in version], n=1, rank_col=None)
+            return best.select(key, *cells)
+        # With a count the winner is a struct max next to the sum, both
+        # partial-aggregated map-side.
+        payload = [*version, *[c for c in cells if c not in version]]
+        win = F.expr("max(struct(" + ", ".join(q(c) for c in payload) + "))").alias("__win")
         out = rows.groupBy(key).agg(win, *counted)
-        return out.select(key, *[F.col("__win")[c].alias(c) for c in cells], *([count_as] if count_as else []))
-    order = F.struct(F.col(_BATCH), *[F.col(v) for v in version])
+        return out.select(key, *[F.col("__win")[c].alias(c) for c in cells], count_as)
+    # Per cell: the value of the greatest put that carries the cell.
+    order = "struct(" + ", ".join([_BATCH, *[q(v) for v in version]]) + ")"
     merged = [
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in cells
+        F.expr(f"max_by({q(c)}, CASE WHEN {q(c)} IS NOT NULL THEN {order} END)").alias(c) for c in cells
     ]
     return rows.groupBy(key).agg(*merged, *counted)
 

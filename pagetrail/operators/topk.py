@@ -7,12 +7,11 @@ tie-breakers so results do not depend on partitioning.
 * ``top_k`` — ``orderBy(...).limit(n)``, planned as TakeOrderedAndProject:
   each task keeps its own n best rows and one task merges
   ``n * partitions`` rows, bounded by n.
-* ``top_per_group`` with n == 1 — an arg-min aggregation
-  (``min_by(row, order_key)``) instead of a window: a hash aggregate with
-  partial aggregation before the shuffle, so no sort and no group is ever
-  buffered whole. Used when every descending column is numeric.
-* otherwise — ``row_number()`` over a window with ``rank <= n``; Spark adds a
-  partial WindowGroupLimit before the shuffle.
+* ``top_per_group`` — ``row_number()`` over a window with ``rank <= n``.
+  Spark plans it with a *partial* WindowGroupLimit before the shuffle: each
+  task sorts its own rows and keeps only the best n per group, so a group
+  that owns a third of all rows crosses the shuffle as n rows per task and
+  the final window never buffers more than that.
 """
 
 from __future__ import annotations
@@ -21,12 +20,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 Order = Sequence[tuple[str, str]]
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-
 
 def order_columns(order: Order) -> list[Column]:
     cols = []
@@ -43,22 +39,6 @@ def top_k(df: DataFrame, order: Order, n: int) -> DataFrame:
     return df.orderBy(*order_columns(order)).limit(n)
 
 
-def _argmin_key(df: DataFrame, order: Order) -> Column | None:
-    """A struct whose minimum is the best row under ``order``, or None."""
-    fields: list[Column] = []
-    for i, (name, direction) in enumerate(order):
-        c = F.col(name)
-        if direction.lower() == "asc":
-            fields.append(F.when(c.isNull(), 0).otherwise(1).alias(f"n{i}"))
-            fields.append(c.alias(f"v{i}"))
-        else:
-            if not isinstance(df.schema[name].dataType, _NUMERIC):
-                return None
-            fields.append(F.when(c.isNull(), 1).otherwise(0).alias(f"n{i}"))
-            fields.append((-c).alias(f"v{i}"))
-    return F.struct(*fields)
-
-
 def top_per_group(
     df: DataFrame,
     keys: Sequence[str],
@@ -70,15 +50,6 @@ def top_per_group(
 
     ``rank_col`` (1-based row number within the group) is added when given.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    okey = _argmin_key(df, order) if n == 1 else None
-    if okey is not None:
-        best = F.min_by(F.struct(*[F.col(c) for c in rest]), okey).alias("__best")
-        out = df.groupBy(*keys).agg(best).select(*keys, *[F.col("__best")[c].alias(c) for c in rest])
-        if rank_col:
-            out = out.withColumn(rank_col, F.lit(1))
-        return out
     w = Window.partitionBy(*keys).orderBy(*order_columns(order))
     rn = rank_col or "__rank"
     out = df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= n)

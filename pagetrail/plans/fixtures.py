@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pagetrail.functions.time import hour_floor
+from pagetrail.functions.time import hour_floor_sql
 from pagetrail.operators.joins import bounded_broadcast
 from pagetrail.sources.files import read_table
 
@@ -31,33 +31,36 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bounded_broadcast(pages, max_rows=100_000)
 
 
-def _pageview_from(events: DataFrame, pages: DataFrame, cookie: F.Column) -> DataFrame:
-    e = F.col("event_id")
-    u = F.col("user_id")
-    ev = events.join(pages, F.col("page_id") == e % PAGES_USED, "inner")
-    return ev.select(
-        F.col("ts").alias("timeCreate"),
-        cookie.alias("cookieCreate"),
-        ((e * 31 + u) % 5).cast("int").alias("browserCode"),
-        F.concat(F.lit("v"), (e % 9).cast("string")).alias("browserVer"),
-        (e % 7).cast("int").alias("osCode"),
-        F.concat(F.lit("o"), (e % 4).cast("string")).alias("osVer"),
-        ((e * 17 + u) % 101).cast("long").alias("ip"),
-        (e % 13).cast("int").alias("locId"),
-        F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("domain"),
-        (e % 6).cast("int").alias("siteId"),
-        (e % 8).cast("int").alias("cId"),
-        F.regexp_extract("url", r"^https?://[^/?#]+(/[^?#]*)", 1).alias("path"),
-        F.lit(None).cast("string").alias("referer"),
-        u.alias("guid"),
-        F.lit("none").alias("flashVersion"),
-        (e % 2).cast("string").alias("jre"),
-        F.lit("1920x1080").alias("sr"),
-        F.lit("24").alias("sc"),
-        (e % 3).cast("int").alias("geographic"),
-        (e % 10).cast("int").alias("category"),
-        e.alias("event_id"),
-    )
+# The page-view columns derived from one event and its page (fixed values of
+# the derivation); ``{cookie}`` is the cookie-time expression.
+_PAGEVIEW_EXPRS = [
+    "ts AS timeCreate",
+    "{cookie} AS cookieCreate",
+    "CAST((event_id * 31 + user_id) % 5 AS INT) AS browserCode",
+    "concat('v', CAST(event_id % 9 AS STRING)) AS browserVer",
+    "CAST(event_id % 7 AS INT) AS osCode",
+    "concat('o', CAST(event_id % 4 AS STRING)) AS osVer",
+    "CAST((event_id * 17 + user_id) % 101 AS BIGINT) AS ip",
+    "CAST(event_id % 13 AS INT) AS locId",
+    "regexp_extract(url, '^https?://([^/?#]+)', 1) AS domain",
+    "CAST(event_id % 6 AS INT) AS siteId",
+    "CAST(event_id % 8 AS INT) AS cId",
+    "regexp_extract(url, '^https?://[^/?#]+(/[^?#]*)', 1) AS path",
+    "CAST(NULL AS STRING) AS referer",
+    "user_id AS guid",
+    "'none' AS flashVersion",
+    "CAST(event_id % 2 AS STRING) AS jre",
+    "'1920x1080' AS sr",
+    "'24' AS sc",
+    "CAST(event_id % 3 AS INT) AS geographic",
+    "CAST(event_id % 10 AS INT) AS category",
+    "event_id",
+]
+
+
+def _pageview_from(events: DataFrame, pages: DataFrame, cookie_sql: str) -> DataFrame:
+    ev = events.join(pages, F.expr(f"page_id = event_id % {PAGES_USED}"), "inner")
+    return ev.selectExpr(*[e.replace("{cookie}", cookie_sql) for e in _PAGEVIEW_EXPRS])
 
 
 def pageview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +71,7 @@ def pageview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     ts_type = events.schema["ts"].dataType
-    return _pageview_from(events, _pages(spark, sf_dir), hour_floor(F.col("ts"), ts_type))
+    return _pageview_from(events, _pages(spark, sf_dir), hour_floor_sql("ts", ts_type))
 
 
 def pageview_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +85,7 @@ def pageview_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     first = events.groupBy("user_id").agg(F.min("ts").alias("first_ts"))
     ev = events.join(first, "user_id", "inner")
-    return _pageview_from(ev, _pages(spark, sf_dir), F.col("first_ts"))
+    return _pageview_from(ev, _pages(spark, sf_dir), "first_ts")
 
 
 # ---------------------------------------------------------------- workforce

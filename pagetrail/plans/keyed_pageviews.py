@@ -22,9 +22,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagetrail.functions.keys import join_key
-from pagetrail.functions.time import dtype_of, epoch_millis
+from pagetrail.functions.time import dtype_of, epoch_millis, epoch_millis_sql, q
 from pagetrail.operators.joins import bounded_broadcast
 from pagetrail.operators.keyed import keyed_upsert, prefix_scan
 from pagetrail.operators.topk import top_k
@@ -33,9 +34,9 @@ from pagetrail.schemas import PAGEVIEW_COLUMNS, PAGEVIEW_SCHEMA, PAGEVIEW_TIME_C
 TIE_BREAK = "event_id"  # optional unique id column of the log
 
 
-def cookie_key(log: DataFrame) -> F.Column:
-    """Row key of a view in the cookie-keyed table (null cookie -> 0)."""
-    return F.coalesce(epoch_millis(F.col("cookieCreate"), dtype_of(log, "cookieCreate")), F.lit(0).cast("long"))
+def cookie_key_sql(log: DataFrame) -> str:
+    """Row key of a view in the cookie-keyed table (null cookie -> 0), as SQL."""
+    return f"coalesce({epoch_millis_sql('cookieCreate', dtype_of(log, 'cookieCreate'))}, CAST(0 AS BIGINT))"
 
 
 def pageview_puts(log: DataFrame, null_defaults: bool = True) -> DataFrame:
@@ -44,29 +45,28 @@ def pageview_puts(log: DataFrame, null_defaults: bool = True) -> DataFrame:
     With ``null_defaults`` a null number or time becomes 0 and a null text
     becomes "" (what the loader stores); otherwise nulls stay absent cells.
     A unique id column of the log, if present, is carried as a tie-breaker.
+    One ``selectExpr`` builds the whole projection.
     """
     types = {f.name: f.dataType for f in PAGEVIEW_SCHEMA.fields}
-    cols = [cookie_key(log).alias(ROW_KEY)]
+    exprs = [f"{cookie_key_sql(log)} AS {ROW_KEY}"]
     for name in PAGEVIEW_COLUMNS:
-        c = F.col(name)
         if name in PAGEVIEW_TIME_COLUMNS:
-            c = epoch_millis(c, dtype_of(log, name))
-            default = F.lit(0).cast("long")
-        elif types[name].typeName() == "string":
-            default = F.lit("")
+            value, default = epoch_millis_sql(name, dtype_of(log, name)), "CAST(0 AS BIGINT)"
+        elif isinstance(types[name], T.StringType):
+            value, default = q(name), "''"
         else:
-            default = F.lit(0).cast(types[name])
-        cols.append((F.coalesce(c, default) if null_defaults else c).alias(name))
-    cols += [F.col(c) for c in log.columns if c == TIE_BREAK or c.startswith("__")]
-    return log.select(*cols)
+            value, default = q(name), f"CAST(0 AS {types[name].simpleString()})"
+        exprs.append(f"{f'coalesce({value}, {default})' if null_defaults else value} AS {q(name)}")
+    exprs += [q(c) for c in log.columns if c == TIE_BREAK or c.startswith("__")]
+    return log.selectExpr(*exprs)
 
 
 def _version(puts: DataFrame) -> list[str]:
-    # Later view wins; then the unique id; then the cell values themselves,
-    # so the survivor never depends on how rows are partitioned.
-    tail = [TIE_BREAK] if TIE_BREAK in puts.columns else []
-    rest = [c for c in PAGEVIEW_COLUMNS if c != "timeCreate"]
-    return ["timeCreate", *tail, *rest]
+    # Later view wins; then the unique id, or without one the cell values
+    # themselves, so the survivor never depends on how rows are partitioned.
+    if TIE_BREAK in puts.columns:
+        return ["timeCreate", TIE_BREAK]
+    return ["timeCreate", *[c for c in PAGEVIEW_COLUMNS if c != "timeCreate"]]
 
 
 def load_pageviews(
@@ -105,7 +105,7 @@ def urls_of_guid_day(visits: DataFrame, guid: int, day: str) -> DataFrame:
 
 
 def _keys_of_log(log: DataFrame) -> DataFrame:
-    return log.select(cookie_key(log).alias(ROW_KEY))
+    return log.selectExpr(f"{cookie_key_sql(log)} AS {ROW_KEY}")
 
 
 def _survivors_per_log_row(log: DataFrame, keyed: DataFrame | None, cells: list[str]) -> DataFrame:
@@ -174,7 +174,7 @@ def ips_of_guid_on_log(log: DataFrame, guid: int) -> DataFrame:
 def last_visit_on_log(log: DataFrame, guid: int) -> DataFrame:
     """Latest view of a visitor from the log (guid, timeCreate millis, ip)."""
     rows = log.where(F.col("guid") == F.lit(guid)).select(
-        "guid", epoch_millis(F.col("timeCreate"), dtype_of(log, "timeCreate")).alias("timeCreate"), "ip"
+        "guid", epoch_millis("timeCreate", dtype_of(log, "timeCreate")).alias("timeCreate"), "ip"
     )
     return top_k(rows, [("timeCreate", "desc"), ("ip", "asc")], 1)
 
@@ -183,7 +183,7 @@ def guids_os_browser_time_on_log(
     log: DataFrame, os_code: int, browser_code: int, t1_millis: int, t2_millis: int
 ) -> DataFrame:
     """Views with the OS, browser and open time range, from the log."""
-    t = epoch_millis(F.col("timeCreate"), dtype_of(log, "timeCreate"))
+    t = epoch_millis("timeCreate", dtype_of(log, "timeCreate"))
     rows = log.select("guid", t.alias("timeCreate"), "osCode", "browserCode")
     return rows.where(
         (F.col("osCode") == F.lit(os_code))

@@ -86,8 +86,8 @@ def gap_rows_whole_seconds(log: DataFrame, gap_seconds: int = 600_000) -> DataFr
 
     This is the literal comparison ``cast(t as long) > cast(c as long) + gap``.
     """
-    t = epoch_seconds(F.col("timeCreate"), dtype_of(log, "timeCreate"))
-    c = epoch_seconds(F.col("cookieCreate"), dtype_of(log, "cookieCreate"))
+    t = epoch_seconds("timeCreate", dtype_of(log, "timeCreate"))
+    c = epoch_seconds("cookieCreate", dtype_of(log, "cookieCreate"))
     return log.where(t > c + F.lit(gap_seconds))
 
 

@@ -12,9 +12,34 @@ from pyspark.sql import functions as F
 from pagetrail.schemas import PAGEVIEW_SCHEMA
 
 
+# Declared schemas of the driver tables the jobs read, so a read never
+# spends a driver round trip inferring them from Parquet footers.
+DRIVER_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table: ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table: ``{sf_dir}/{name}.parquet`` (declared schema when known)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    ddl = DRIVER_TABLES.get(name)
+    return spark.read.schema(ddl).parquet(path) if ddl else spark.read.parquet(path)
 
 
 def read_pageview_tsv(spark: SparkSession, path: str) -> DataFrame:

@@ -33,8 +33,7 @@ def test_ntz_epoch_functions_ignore_session_zone(spark):
             spark.conf.set("spark.sql.session.timeZone", tz)
             df = spark.sql("select timestamp_ntz'2024-07-05 10:30:07.179575' as ts")
             t = df.schema["ts"].dataType
-            res.append(tuple(df.select(epoch_millis(F.col("ts"), t), epoch_seconds(F.col("ts"), t),
-                                       hour_floor(F.col("ts"), t)).first()))
+            res.append(tuple(df.select(epoch_millis("ts", t), epoch_seconds("ts", t), hour_floor("ts", t)).first()))
         assert res[0] == res[1]
         assert res[0][0] == 1720175407179 and res[0][1] == 1720175407
     finally:

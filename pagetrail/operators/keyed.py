@@ -77,8 +77,17 @@ def keyed_upsert(
         win = F.expr("max(struct(" + ", ".join(q(c) for c in payload) + "))").alias("__win")
         out = rows.groupBy(key).agg(win, *counted)
         return out.select(key, *[F.col("__win")[c].alias(c) for c in cells], count_as)
-    # Per cell: the value of the greatest put that carries the cell.
-    order = "struct(" + ", ".join([_BATCH, *[q(v) for v in version]]) + ")"
+    # Per cell: the value of the greatest put that carries the cell. Without
+    # a target the batch number is constant and left out; a single order
+    # column is used as is, so fixed-width cells keep a hash aggregation
+    # (a struct order would force a sort-based one).
+    order_cols = ([_BATCH] if target is not None else []) + [q(v) for v in version]
+    if not order_cols:
+        order = "1"
+    elif len(order_cols) == 1:
+        order = order_cols[0]
+    else:
+        order = "struct(" + ", ".join(order_cols) + ")"
     merged = [
         F.expr(f"max_by({q(c)}, CASE WHEN {q(c)} IS NOT NULL THEN {order} END)").alias(c) for c in cells
     ]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagetrail.operators.joins import spread
+
 # The seed of the clustering.
 KMEANS_SEED = 1
 
@@ -25,10 +28,17 @@ def assemble(points: DataFrame) -> DataFrame:
 def fit(points: DataFrame, k: int, seed: int = KMEANS_SEED, max_iter: int = 20) -> KMeansModel:
     """Fit k-means (k-means|| initialisation, other settings default).
 
-    Every iteration is a distributed pass over the cached points (partial
-    sums per task; only k centres per task reach the driver).
+    Every iteration is a distributed pass over the points (partial sums per
+    task; only k centres per task reach the driver). The assembled points
+    are spread over the cluster when their scan is narrower than it, and
+    kept in memory (spilling to disk) for the iterations, then released; a
+    lost cached block is recomputed from its lineage.
     """
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(assemble(points))
+    features = assemble(spread(points)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(features)
+    finally:
+        features.unpersist()
 
 
 def centers(model: KMeansModel, spark) -> DataFrame:

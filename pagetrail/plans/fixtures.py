@@ -8,7 +8,7 @@ The same derivations are written in SQL for the oracle (``plans.oracle``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetrail.functions.time import hour_floor_sql
@@ -91,65 +91,57 @@ def pageview_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- workforce
 
 
-def _dept_no(nationkey: F.Column) -> F.Column:
-    return F.concat(F.lit("d"), F.lpad(nationkey.cast("string"), 3, "0"))
+def _dept_no_sql(nationkey: str) -> str:
+    return f"concat('d', lpad(CAST({nationkey} AS STRING), 3, '0'))"
 
 
 def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
-    return n.select(_dept_no(F.col("n_nationkey")).alias("dept_no"), F.col("n_name").alias("dept_name"))
+    return n.selectExpr(f"{_dept_no_sql('n_nationkey')} AS dept_no", "n_name AS dept_name")
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
-    return c.select(
-        F.col("c_custkey").alias("emp_no"),
-        F.lit(BIRTH_DATE).cast("date").alias("birth_date"),
-        F.col("c_name").alias("first_name"),
-        F.col("c_mktsegment").alias("last_name"),
-        F.when(F.col("c_custkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("gender"),
-        F.lit(HIRE_DATE).cast("date").alias("hire_date"),
+    return c.selectExpr(
+        "c_custkey AS emp_no",
+        f"DATE'{BIRTH_DATE}' AS birth_date",
+        "c_name AS first_name",
+        "c_mktsegment AS last_name",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender",
+        f"DATE'{HIRE_DATE}' AS hire_date",
     )
 
 
 def dept_emp(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
-    return c.select(
-        F.col("c_custkey").alias("emp_no"),
-        _dept_no(F.col("c_nationkey")).alias("dept_no"),
-        F.lit(FROM_DATE).cast("date").alias("from_date"),
-        F.lit(OPEN_END).cast("date").alias("to_date"),
+    return c.selectExpr(
+        "c_custkey AS emp_no",
+        f"{_dept_no_sql('c_nationkey')} AS dept_no",
+        f"DATE'{FROM_DATE}' AS from_date",
+        f"DATE'{OPEN_END}' AS to_date",
     )
 
 
 def dept_manager(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The smallest employee number of each department is its manager."""
     de = dept_emp(spark, sf_dir)
-    return de.groupBy("dept_no").agg(
-        F.min("emp_no").alias("emp_no"),
-    ).select(
-        "dept_no",
-        "emp_no",
-        F.lit(FROM_DATE).cast("date").alias("from_date"),
-        F.lit(OPEN_END).cast("date").alias("to_date"),
+    return de.groupBy("dept_no").agg(F.min("emp_no").alias("emp_no")).selectExpr(
+        "dept_no", "emp_no", f"DATE'{FROM_DATE}' AS from_date", f"DATE'{OPEN_END}' AS to_date"
     )
 
 
 def _orders_by_customer_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
-    return o.select(
-        F.col("o_custkey").alias("emp_no"),
-        F.to_date("o_orderdate").alias("from_date"),
-        "o_orderpriority",
-        "o_totalprice",
+    return o.selectExpr(
+        "o_custkey AS emp_no", "CAST(o_orderdate AS DATE) AS from_date", "o_orderpriority", "o_totalprice"
     )
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One title per (customer, order day): the smallest order priority."""
     o = _orders_by_customer_day(spark, sf_dir)
-    return o.groupBy("emp_no", "from_date").agg(F.min("o_orderpriority").alias("title")).select(
-        "emp_no", "title", "from_date", F.lit(OPEN_END).cast("date").alias("to_date")
+    return o.groupBy("emp_no", "from_date").agg(F.min("o_orderpriority").alias("title")).selectExpr(
+        "emp_no", "title", "from_date", f"DATE'{OPEN_END}' AS to_date"
     )
 
 
@@ -161,15 +153,12 @@ def salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     number of distinct order days, not by the size of the orders table.
     """
     o = _orders_by_customer_day(spark, sf_dir)
-    per_day = o.groupBy("emp_no", "from_date").agg(
-        F.max(F.floor("o_totalprice")).cast("long").alias("salary")
-    )
-    nxt = F.lead("from_date").over(Window.partitionBy("emp_no").orderBy("from_date"))
-    return per_day.select(
+    per_day = o.groupBy("emp_no", "from_date").agg(F.expr("CAST(max(floor(o_totalprice)) AS BIGINT)").alias("salary"))
+    return per_day.selectExpr(
         "emp_no",
         "salary",
         "from_date",
-        F.coalesce(nxt, F.lit(OPEN_END).cast("date")).alias("to_date"),
+        f"coalesce(lead(from_date) OVER (PARTITION BY emp_no ORDER BY from_date), DATE'{OPEN_END}') AS to_date",
     )
 
 
@@ -179,7 +168,7 @@ def salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k-means input: x = quantity, y = discount of every line item."""
     li = read_table(spark, sf_dir, "lineitem")
-    return li.select(F.col("l_quantity").alias("x"), F.col("l_discount").alias("y"))
+    return li.selectExpr("l_quantity AS x", "l_discount AS y")
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,28 +43,22 @@ def flatten_dept_emp(
     dept_name, dm_from_date, dm_to_date. Person and department columns come
     from the joined tables (null when the match is missing).
     """
-    de = dept_emp.select(
-        F.col("emp_no").alias("de_emp_no"),
-        F.col("dept_no").alias("de_dept_no"),
-        F.col("from_date").alias("de_from_date"),
-        F.col("to_date").alias("de_to_date"),
+    de = dept_emp.selectExpr(
+        "emp_no AS de_emp_no", "dept_no AS de_dept_no", "from_date AS de_from_date", "to_date AS de_to_date"
     )
     e = employees.select(*PERSON_COLUMNS)
     d = bounded_broadcast(departments.select("dept_no", "dept_name"), SMALL_SIDE_ROWS)
     m = bounded_broadcast(
-        dept_manager.select(
-            F.col("dept_no").alias("dm_dept_no"),
-            F.col("emp_no").alias("dm_emp_no"),
-            F.col("from_date").alias("dm_from_date"),
-            F.col("to_date").alias("dm_to_date"),
+        dept_manager.selectExpr(
+            "dept_no AS dm_dept_no", "emp_no AS dm_emp_no", "from_date AS dm_from_date", "to_date AS dm_to_date"
         ),
         SMALL_SIDE_ROWS,
     )
-    j = de.join(e, de.de_emp_no == e.emp_no, "left")
-    j = j.join(d, j.de_dept_no == d.dept_no, "left")
-    j = j.join(m, (j.de_dept_no == m.dm_dept_no) & (j.de_emp_no == m.dm_emp_no), "left")
-    return j.select(
-        join_key("de_dept_no", "de_emp_no").alias("dept_emp"),
+    j = de.join(e, F.expr("de_emp_no = emp_no"), "left")
+    j = j.join(d, F.expr("de_dept_no = dept_no"), "left")
+    j = j.join(m, F.expr("de_dept_no = dm_dept_no AND de_emp_no = dm_emp_no"), "left")
+    return j.selectExpr(
+        "concat(CAST(de_dept_no AS STRING), '_', CAST(de_emp_no AS STRING)) AS dept_emp",
         "de_from_date",
         "de_to_date",
         *PERSON_COLUMNS,

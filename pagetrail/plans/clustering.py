@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,8 +56,9 @@ def centers(model: KMeansModel, spark) -> DataFrame:
 
 
 def assign(model: KMeansModel, points: DataFrame) -> DataFrame:
-    """Every point with its cluster (x, y, prediction)."""
-    return model.transform(assemble(points)).select("x", "y", "prediction")
+    """Every point with its cluster: x, y, features (as array<double>), prediction."""
+    out = model.transform(assemble(points))
+    return out.select("x", "y", vector_to_array("features").alias("features"), "prediction")
 
 
 def kmeans_centers(points: DataFrame, k: int, seed: int = KMEANS_SEED) -> DataFrame:

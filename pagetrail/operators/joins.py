@@ -38,6 +38,7 @@ _MEASURED: dict[tuple, int] = {}
 
 
 def _count_up_to(df: DataFrame, limit: int) -> int:
+    """Rows of ``df``, counting at most ``limit`` (remembered for file inputs)."""
     files = tuple(sorted(df.inputFiles()))
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files, limit) if files else None
     if key is not None and key in _MEASURED:

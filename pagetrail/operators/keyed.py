@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from pagetrail.functions.keys import prefix_successor
 from pagetrail.functions.time import q
-from pagetrail.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from pagetrail.operators.joins import DEFAULT_BROADCAST_ROWS, _count_up_to, bounded_broadcast
 from pagetrail.operators.topk import top_per_group
 from pagetrail.schemas import ROW_KEY
 
@@ -40,6 +40,7 @@ def keyed_upsert(
     target: DataFrame | None = None,
     count_as: str | None = None,
     count_where: Column | None = None,
+    incremental_keys: int | None = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Last-writer-wins merge of ``updates`` into ``target`` (None = empty).
 
@@ -49,8 +50,24 @@ def keyed_upsert(
     table and are not written. Returns ``key`` + ``cells`` (+ ``count_as``,
     the number of update rows put on each key — only those satisfying
     ``count_where`` when given).
+
+    Merging into a big ``target``: when the batch touches at most
+    ``incremental_keys`` distinct keys (counted), those keys are broadcast;
+    target rows with other keys pass through a map-side anti join untouched
+    and only the touched rows are shuffled and merged with the batch, so a
+    small batch never reshuffles the whole table. Above the bound (or with
+    ``incremental_keys=None``) every row of both sides is merged.
     """
     cells = list(cells)
+    if target is not None and incremental_keys and not count_as:
+        batch_keys = updates.where(F.col(key).isNotNull()).select(key).distinct()
+        if _count_up_to(batch_keys, incremental_keys + 1) <= incremental_keys:
+            kb = F.broadcast(batch_keys)
+            tgt = target.select(key, *[c for c in cells if c in target.columns])
+            untouched = tgt.join(kb, key, "left_anti")
+            touched = tgt.join(kb, key, "left_semi")
+            merged = keyed_upsert(updates, cells, version, key, target=touched, incremental_keys=None)
+            return untouched.unionByName(merged, allowMissingColumns=True).select(key, *cells)
     version = [v for v in version]
     extra = [v for v in version if v not in cells]
     upd = updates.where(F.col(key).isNotNull())

@@ -116,3 +116,13 @@ def test_last_visit_empty_gives_no_row(spark):
     log = pv_rows(spark, [view(1, "2024-01-05 00:00:00", cookie="2024-01-05 00:00:00", event_id=1)])
     assert K.last_visit(log, 99).count() == 0
     assert K.last_visit_on_log(log, 99).count() == 0
+
+
+def test_small_batch_merge_does_not_shuffle_untouched_rows(spark):
+    target = spark.createDataFrame([(f"k{i}", i, "old") for i in range(200)], "row_key string, x int, y string")
+    batch = spark.createDataFrame([("k5", None, "new"), ("k500", 1, None)], "row_key string, x int, y string")
+    merged = keyed_upsert(batch, ["x", "y"], target=target)
+    rows = {r.row_key: (r.x, r.y) for r in merged.collect()}
+    assert len(rows) == 201 and rows["k5"] == (5, "new") and rows["k500"] == (1, None) and rows["k7"] == (7, "old")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan

@@ -37,7 +37,7 @@ def materialize(df: DataFrame) -> DataFrame:
 _MEASURED: dict[tuple, int] = {}
 
 
-def _count_up_to(df: DataFrame, limit: int) -> int:
+def count_up_to(df: DataFrame, limit: int) -> int:
     """Rows of ``df``, counting at most ``limit`` (remembered for file inputs)."""
     files = tuple(sorted(df.inputFiles()))
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files, limit) if files else None
@@ -62,7 +62,7 @@ def bounded_broadcast(
         df = materialize(df)
         n = df.limit(max_rows + 1).count()
     else:
-        n = _count_up_to(df, max_rows + 1)
+        n = count_up_to(df, max_rows + 1)
     return F.broadcast(df) if n <= max_rows else df
 
 

@@ -5,10 +5,12 @@ a null cell means "never written". Writes are last-writer-wins *per cell*:
 a later put replaces the cells it carries and leaves the others as they were.
 
 * ``keyed_upsert`` — merge a batch of puts into a table (or build one).
-  One hash aggregation on the key; every cell is ``max_by(cell, version)``
-  over the rows where the cell is not null. Partial aggregation runs before
-  the shuffle, so a key that owns a third of all rows is folded map-side
-  instead of landing whole in one task.
+  Per cell: ``max_by(cell, version)`` over the puts that carry the cell, one
+  aggregation on the key. When no cell can be absent the winner is a whole
+  put: ``row_number() = 1`` per key. Both combine map-side before the
+  shuffle (partial aggregation / partial WindowGroupLimit), so a key that
+  owns a third of all rows never lands whole in one task. A small batch
+  merged into a big table shuffles only the keys it touches.
 * ``multi_get`` — look up a set of keys (with multiplicity) and project cells.
 * ``range_scan`` / ``prefix_scan`` — rows with ``start <= row_key < stop``.
   On a table written sorted by key (``sinks.write_keyed_table``) the
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from pagetrail.functions.keys import prefix_successor
 from pagetrail.functions.time import q
-from pagetrail.operators.joins import DEFAULT_BROADCAST_ROWS, _count_up_to, bounded_broadcast
+from pagetrail.operators.joins import DEFAULT_BROADCAST_ROWS, count_up_to, bounded_broadcast
 from pagetrail.operators.topk import top_per_group
 from pagetrail.schemas import ROW_KEY
 
@@ -61,7 +63,7 @@ def keyed_upsert(
     cells = list(cells)
     if target is not None and incremental_keys and not count_as:
         batch_keys = updates.where(F.col(key).isNotNull()).select(key).distinct()
-        if _count_up_to(batch_keys, incremental_keys + 1) <= incremental_keys:
+        if count_up_to(batch_keys, incremental_keys + 1) <= incremental_keys:
             kb = F.broadcast(batch_keys)
             tgt = target.select(key, *[c for c in cells if c in target.columns])
             untouched = tgt.join(kb, key, "left_anti")

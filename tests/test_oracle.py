@@ -11,6 +11,8 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_compare import digest, duck  # noqa: E402
 
 SF = os.environ.get("PAGETRAIL_TEST_SF", "/root/testdata/sf0.001")
+DUCK_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE", "double": "DOUBLE",
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 NAMES = sorted(E.queries())
 
 
@@ -27,6 +29,9 @@ def test_matches_oracle(spark, con, name):
     if sql is None:
         assert name.startswith("kmeans_") and len(rows) > 0
         return
+    rel = con.sql(sql)
+    spark_types = {f.name: DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     cur = con.execute(sql)
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()

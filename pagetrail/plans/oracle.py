@@ -250,3 +250,6 @@ FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS word FR
 WHERE word <> ''
 GROUP BY word""",
 }
+
+# The look-up against a stored keyed table asks the same question.
+ORACLE_SQL["kv_ips_of_guid_stored"] = ORACLE_SQL["kv_ips_of_guid"]

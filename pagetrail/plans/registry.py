@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagetrail.operators.joins import materialize
 from pagetrail.plans import clustering, fixtures, keyed_pageviews, pageviews, text, workforce
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +74,9 @@ QUERIES: dict[str, Query] = {
     "kv_guids_os_browser_time": lambda s, sf: keyed_pageviews.guids_os_browser_time(
         _pv(s, sf), OS_CODE, BROWSER_CODE, _millis(T1), _millis(T2)
     ),
+    "kv_ips_of_guid_stored": lambda s, sf: keyed_pageviews.ips_of_guid(
+        _pv(s, sf), GUID, keyed=materialize(keyed_pageviews.load_pageviews(_pv(s, sf)))
+    ),
     "kv_ips_of_guid_log": lambda s, sf: keyed_pageviews.ips_of_guid_on_log(_pv(s, sf), GUID),
     "kv_last_visit_log": lambda s, sf: keyed_pageviews.last_visit_on_log(_pv(s, sf), GUID),
     "kv_guids_os_browser_time_log": lambda s, sf: keyed_pageviews.guids_os_browser_time_on_log(

@@ -126,3 +126,20 @@ def test_small_batch_merge_does_not_shuffle_untouched_rows(spark):
     assert len(rows) == 201 and rows["k5"] == (5, "new") and rows["k500"] == (1, None) and rows["k7"] == (7, "old")
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
+
+
+def test_bounded_broadcast_falls_back_above_the_bound(spark):
+    from pagetrail.operators.joins import bounded_broadcast
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(100).withColumnRenamed("id", "k")
+        side = spark.range(10).withColumnRenamed("id", "k")
+        hinted = big.join(bounded_broadcast(side, max_rows=10), "k")
+        plain = big.join(bounded_broadcast(side, max_rows=9), "k")
+        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+        assert hinted.count() == plain.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -31,3 +31,17 @@ def test_stream_load_matches_batch_load_and_later_batch_wins(spark, tmp_dir):
     rows = {r.row_key: r.guid for r in read_keyed(spark, put_log).collect()}
     key = int(dt.datetime(2024, 1, 5, 10, tzinfo=dt.timezone.utc).timestamp() * 1000)
     assert rows[key] == 9 and len(rows) == 2
+
+
+def test_replayed_batch_leaves_the_table_unchanged(spark, tmp_dir):
+    from pagetrail.plans.keyed_pageviews import pageview_puts
+    from pyspark.sql import functions as F
+
+    log = pv_rows(spark, [view(g, f"2024-01-05 10:0{g}:00", cookie="2024-01-05 10:00:00", ip=g) for g in range(1, 4)],
+                  with_id=False)
+    puts = pageview_puts(log).withColumn("ingest_batch", F.lit(0).cast("long"))
+    put_log = os.path.join(tmp_dir, "puts")
+    puts.write.mode("append").parquet(put_log)
+    once = sorted(read_keyed(spark, put_log).collect())
+    puts.write.mode("append").parquet(put_log)  # the same micro-batch again
+    assert sorted(read_keyed(spark, put_log).collect()) == once and len(once) == 1

@@ -10,6 +10,8 @@ materialised copy instead of computing an expensive side twice.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +41,9 @@ _MEASURED: dict[tuple, int] = {}
 
 def count_up_to(df: DataFrame, limit: int) -> int:
     """Rows of ``df``, counting at most ``limit`` (remembered for file inputs)."""
-    files = tuple(sorted(df.inputFiles()))
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files, limit) if files else None
+    files = sorted(df.inputFiles())
+    digest = hashlib.sha1("\n".join(files).encode()).hexdigest() if files else None
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), digest, limit) if files else None
     if key is not None and key in _MEASURED:
         return _MEASURED[key]
     n = df.limit(limit).count()

@@ -29,7 +29,7 @@ from pagetrail.functions.keys import prefix_successor
 from pagetrail.functions.time import q
 from pagetrail.operators.joins import DEFAULT_BROADCAST_ROWS, count_up_to, bounded_broadcast
 from pagetrail.operators.topk import top_per_group
-from pagetrail.schemas import ROW_KEY
+from pagetrail.schemas import ROW_KEY, resolve_cell
 
 _BATCH = "__batch"
 
@@ -120,9 +120,13 @@ def multi_get(
     key: str = ROW_KEY,
     keep_missing: bool = False,
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    families: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """Fetch ``cells`` for every row of ``keys`` (duplicates fetch twice).
 
+    With ``families`` (a family -> cells map of the table) cells may be
+    named ``family:cell``; the answer's columns are the bare cell names.
+
     ``keep_missing=False`` skips keys that are absent from the table (inner
     join); the key set is then broadcast only when a count shows it has at
     most ``broadcast_rows`` rows, else the planner shuffles both sides on the
@@ -130,6 +134,8 @@ def multi_get(
     join); the key side is the preserved side and so is streamed, never
     broadcast.
     """
+    if families is not None:
+        cells = [resolve_cell(families, c) for c in cells]
     k = keys.select(key)
     t = table.select(key, *cells)
     if keep_missing:

@@ -143,3 +143,18 @@ def test_bounded_broadcast_falls_back_above_the_bound(spark):
         assert hinted.count() == plain.count() == 10
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_multi_get_with_family_qualified_cells(spark):
+    import pytest
+
+    from pagetrail.schemas import DEPT_EMP_FAMILIES
+
+    table = spark.createDataFrame([("d001_1", 1, "Ann", None)], "row_key string, emp_no long, first_name string, dm_from_date date")
+    keys = spark.createDataFrame([("d001_1",)], "row_key string")
+    got = multi_get(table, keys, ["cf_employee:emp_no", "cf_employee:first_name", "cf_manager:dm_from_date"],
+                    families=DEPT_EMP_FAMILIES)
+    assert got.columns == ["row_key", "emp_no", "first_name", "dm_from_date"]
+    assert tuple(got.first()) == ("d001_1", 1, "Ann", None)
+    with pytest.raises(KeyError):
+        multi_get(table, keys, ["cf_info:emp_no"], families=DEPT_EMP_FAMILIES)

@@ -20,6 +20,8 @@ there is no join back to the log at all. Pass a stored keyed table as
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,6 +106,21 @@ def urls_of_guid_day(visits: DataFrame, guid: int, day: str) -> DataFrame:
     return hits.select(ROW_KEY, "path").orderBy(ROW_KEY).select("path")
 
 
+def urls_of_guid_day_from_log(log: DataFrame, guid: int, day: str) -> DataFrame:
+    """``urls_of_guid_day`` on the by-visit table loaded from ``log``.
+
+    Keys ``guid_day...`` come exactly from the views of that visitor on
+    that day (the key is the visitor number, "_", then the view time as
+    text), so the log is narrowed to those views before the load. The same
+    keys are loaded and merged, and the narrowing predicates reach the scan
+    (``guid = g`` becomes a pushed Parquet filter).
+    """
+    narrowed = log.where(
+        (F.col("guid") == F.lit(guid)) & (F.to_date("timeCreate") == F.lit(dt.date.fromisoformat(day)))
+    )
+    return urls_of_guid_day(load_pageviews_by_visit(narrowed), guid, day)
+
+
 def _keys_of_log(log: DataFrame) -> DataFrame:
     return log.selectExpr(f"{cookie_key_sql(log)} AS {ROW_KEY}")
 

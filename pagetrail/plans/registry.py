@@ -66,9 +66,7 @@ QUERIES: dict[str, Query] = {
     ),
     # keyed page-view table
     "kv_upsert_pageview": lambda s, sf: keyed_pageviews.load_pageviews(_pv(s, sf)),
-    "kv_urls_of_guid_day": lambda s, sf: keyed_pageviews.urls_of_guid_day(
-        keyed_pageviews.load_pageviews_by_visit(_pv(s, sf)), GUID, DAY
-    ),
+    "kv_urls_of_guid_day": lambda s, sf: keyed_pageviews.urls_of_guid_day_from_log(_pv(s, sf), GUID, DAY),
     "kv_ips_of_guid": lambda s, sf: keyed_pageviews.ips_of_guid(_pv(s, sf), GUID),
     "kv_last_visit": lambda s, sf: keyed_pageviews.last_visit(_pv(s, sf), GUID),
     "kv_guids_os_browser_time": lambda s, sf: keyed_pageviews.guids_os_browser_time(
@@ -94,9 +92,7 @@ QUERIES: dict[str, Query] = {
         _keyed_dept_emp(s, sf), fixtures.dept_emp(s, sf), DEPT_NO
     ),
     "emp_payroll_on_date": lambda s, sf: workforce.payroll_on(fixtures.salaries(s, sf), PAYROLL_DATE),
-    "emp_titles": lambda s, sf: workforce.titles_of(
-        workforce.load_titles(fixtures.titles(s, sf)), fixtures.titles(s, sf), EMP_NO
-    ),
+    "emp_titles": lambda s, sf: workforce.titles_of_from_table(fixtures.titles(s, sf), EMP_NO),
     "emp_distinct_title_dates": lambda s, sf: workforce.title_dates(fixtures.titles(s, sf)),
     # clustering and text
     "kmeans_centers": lambda s, sf: clustering.kmeans_centers(fixtures.points(s, sf), KMEANS_K),

@@ -180,3 +180,14 @@ def titles_of(keyed_titles: DataFrame, titles: DataFrame, emp_no: int) -> DataFr
     table = prefix_scan(keyed_titles, f"{emp_no}_")
     got = multi_get(table, keys, ["title"])
     return got.where(F.col("title").isNotNull()).select("title")
+
+
+def titles_of_from_table(titles: DataFrame, emp_no: int) -> DataFrame:
+    """``titles_of`` on the keyed titles loaded from ``titles``.
+
+    Keys ``emp_no_...`` come exactly from that employee's title rows (the
+    key is the number, "_", then a date), so the rows are narrowed to the
+    employee before the load; the predicate reaches the scan.
+    """
+    mine = titles.where(F.col("emp_no") == F.lit(emp_no))
+    return titles_of(load_titles(mine), titles, emp_no)

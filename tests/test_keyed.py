@@ -82,6 +82,7 @@ def test_urls_of_guid_day_by_visit_key(spark):
     ])
     got = [r.path for r in K.urls_of_guid_day(K.load_pageviews_by_visit(log), 3, "2024-01-05").collect()]
     assert got == ["/morning", "/evening"]
+    assert [r.path for r in K.urls_of_guid_day_from_log(log, 3, "2024-01-05").collect()] == got
 
 
 def test_lookups_against_stored_table_equal_fused_path(spark):

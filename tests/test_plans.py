@@ -31,9 +31,18 @@ def test_lookup_answer_folds_into_one_aggregation(spark):
 
 
 def test_key_range_pushed_below_upsert(spark):
-    df = E.queries()["kv_urls_of_guid_day"](spark, SF)
+    from pagetrail.plans import fixtures, keyed_pageviews as K
+
+    df = K.urls_of_guid_day(K.load_pageviews_by_visit(fixtures.pageview(spark, SF)), 3, "2024-01-05")
     opt = df._jdf.queryExecution().optimizedPlan().toString()
     merge_at = min(i for i in (opt.find("Window"), opt.find("Aggregate")) if i >= 0)
     scan_at = opt.index("Relation [event_id")
     filter_at = opt.find("3_2024-01-05", merge_at)
     assert merge_at < filter_at < scan_at  # the key filter sits under the upsert, next to the scan
+
+
+def test_point_lookups_reach_the_scan(spark):
+    p = _plan(E.queries()["kv_urls_of_guid_day"](spark, SF))
+    assert "EqualTo(user_id,3)" in p
+    p = _plan(E.queries()["emp_titles"](spark, SF))
+    assert "EqualTo(o_custkey,82)" in p

@@ -77,4 +77,5 @@ def test_titles_of_employee(spark):
     )
     keyed = W.load_titles(titles)
     assert sorted(r.title for r in W.titles_of(keyed, titles, 82).collect()) == ["Engineer", "Senior"]
+    assert sorted(r.title for r in W.titles_of_from_table(titles, 82).collect()) == ["Engineer", "Senior"]
     assert sorted(r.from_date for r in W.title_dates(titles).collect()) == [D(1995, 1, 1), D(1997, 1, 1), D(1999, 1, 1)]

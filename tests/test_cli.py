@@ -54,3 +54,43 @@ def test_workforce_commands_end_to_end(spark, tmp_dir):
     _run(spark, "payroll", "--salaries", sal, "--keyed", os.path.join(keyed, "salaries"), "--date", "1995-06-01", "--out", pay_stored)
     _run(spark, "payroll", "--salaries", sal, "--date", "1995-06-01", "--out", pay_folded)
     assert spark.read.parquet(pay_stored).collect() == spark.read.parquet(pay_folded).collect()
+
+
+def test_every_other_command_runs(spark, tmp_dir, capsys):
+    log = os.path.join(tmp_dir, "log")
+    pv_rows(spark, [
+        view(3, "2024-01-05 10:20:00", cookie="2024-01-05 10:00:00", path="/a", ip=7, os_code=2, browser=3),
+        view(4, "2024-01-06 11:00:00", cookie="2024-01-06 11:00:00", path="/b", ip=8, os_code=2, browser=3),
+    ]).drop("event_id").write.parquet(log)
+    for cmd in ["top-ips", "top-domains", "top-locations", "top-browsers"]:
+        _run(spark, cmd, "--log", log, "--show", "5")
+    _run(spark, "last-visit", "--log", log, "--guid", "3")
+    _run(spark, "guids-os-browser-time", "--log", log, "--os", "2", "--browser", "3",
+         "--t1", "2024-01-05T00:00:00", "--t2", "2024-01-07T00:00:00")
+    _run(spark, "gap-export", "--log", log, "--whole-seconds", "--gap-seconds", "60")
+    tsv = os.path.join(tmp_dir, "log.tsv")
+    with open(tsv, "w") as f:
+        f.write("\t".join(["2024-01-05 10:20:00", "2024-01-05 10:00:00"] + ["1"] * 18) + "\n")
+    _run(spark, "tsv-to-parquet", "--src", tsv, "--dst", os.path.join(tmp_dir, "from_tsv"))
+    assert spark.read.parquet(os.path.join(tmp_dir, "from_tsv")).count() == 1
+    pts = os.path.join(tmp_dir, "points.txt")
+    with open(pts, "w") as f:
+        f.write("\n".join(f"{x},{x % 3}" for x in range(30)) + "\n")
+    _run(spark, "kmeans", "--points", pts, "--k", "2", "--out", os.path.join(tmp_dir, "pred"))
+    assert spark.read.parquet(os.path.join(tmp_dir, "pred")).count() == 30
+    txt = os.path.join(tmp_dir, "docs.txt")
+    with open(txt, "w") as f:
+        f.write("a b a\nB c\n")
+    _run(spark, "word-count", "--text", txt, "--out", os.path.join(tmp_dir, "wc"))
+    got = {r.word: r["count"] for r in spark.read.parquet(os.path.join(tmp_dir, "wc")).collect()}
+    assert got == {"a": 2, "b": 2, "c": 1}
+    titles = os.path.join(tmp_dir, "titles")
+    spark.createDataFrame([(82, "Staff", "1995-01-01", "9999-01-01")], "emp_no long, title string, from_date string, to_date string") \
+        .selectExpr("emp_no", "title", "CAST(from_date AS DATE) AS from_date", "CAST(to_date AS DATE) AS to_date") \
+        .write.parquet(titles)
+    keyed_titles = os.path.join(tmp_dir, "keyed_titles")
+    from pagetrail.plans import workforce as W
+    sinks.write_keyed_table(W.load_titles(spark.read.parquet(titles)), keyed_titles)
+    _run(spark, "titles", "--keyed", keyed_titles, "--titles", titles, "--emp", "82", "--out", os.path.join(tmp_dir, "t"))
+    assert [r.title for r in spark.read.parquet(os.path.join(tmp_dir, "t")).collect()] == ["Staff"]
+    assert "guid" in capsys.readouterr().out

@@ -5,12 +5,13 @@ from pagetrail.sources.files import (
     read_points_text,
     read_table,
 )
-from pagetrail.sources.jdbc import partitions_for, read_jdbc, read_jdbc_partitioned
+from pagetrail.sources.jdbc import partitions_for, read_jdbc, read_jdbc_auto, read_jdbc_partitioned
 
 __all__ = [
     "partitions_for",
     "read_header_csv",
     "read_jdbc",
+    "read_jdbc_auto",
     "read_jdbc_partitioned",
     "read_pageview_parquet",
     "read_pageview_tsv",

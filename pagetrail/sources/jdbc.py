@@ -76,3 +76,39 @@ def read_jdbc_partitioned(
         .options(**(properties or {}))
         .load()
     )
+
+
+def read_jdbc_auto(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    rows_per_partition: int = DEFAULT_ROWS_PER_PARTITION,
+    properties: dict[str, str] | None = None,
+    fetch_size: int = 10_000,
+) -> DataFrame:
+    """Count, then read in parallel: one partition per ``rows_per_partition`` rows.
+
+    A single small query returns ``min``, ``max`` and ``count`` of the
+    numeric ``column`` (one row to the driver); the table is then read as
+    ``ceil(count / rows_per_partition)`` disjoint ranges of that column.
+    """
+    stats = read_jdbc(
+        spark,
+        url,
+        query=f"SELECT MIN({column}) AS lo, MAX({column}) AS hi, COUNT(*) AS n FROM {table}",
+        properties=properties,
+    ).first()
+    if stats is None or stats["n"] == 0 or stats["lo"] is None:
+        return read_jdbc(spark, url, table=table, properties=properties, fetch_size=fetch_size)
+    return read_jdbc_partitioned(
+        spark,
+        url,
+        table,
+        column,
+        int(stats["lo"]),
+        int(stats["hi"]) + 1,
+        partitions_for(int(stats["n"]), rows_per_partition),
+        properties=properties,
+        fetch_size=fetch_size,
+    )

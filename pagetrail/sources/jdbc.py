@@ -99,16 +99,18 @@ def read_jdbc_auto(
         query=f"SELECT MIN({column}) AS lo, MAX({column}) AS hi, COUNT(*) AS n FROM {table}",
         properties=properties,
     ).first()
-    if stats is None or stats["n"] == 0 or stats["lo"] is None:
+    # positional: some databases upper-case unquoted aliases
+    lo, hi, n = (stats[0], stats[1], stats[2]) if stats is not None else (None, None, 0)
+    if not n or lo is None:
         return read_jdbc(spark, url, table=table, properties=properties, fetch_size=fetch_size)
     return read_jdbc_partitioned(
         spark,
         url,
         table,
         column,
-        int(stats["lo"]),
-        int(stats["hi"]) + 1,
-        partitions_for(int(stats["n"]), rows_per_partition),
+        int(lo),
+        int(hi) + 1,
+        partitions_for(int(n), rows_per_partition),
         properties=properties,
         fetch_size=fetch_size,
     )

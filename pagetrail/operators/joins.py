@@ -77,6 +77,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     single task. On big inputs the scan is already wider than the cluster
     and this returns ``df`` unchanged, so no shuffle is added at scale.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session has no RDD view: leave as is
+        return df
     return df.repartition(want) if have < want else df

@@ -41,9 +41,13 @@ _MEASURED: dict[tuple, int] = {}
 
 def count_up_to(df: DataFrame, limit: int) -> int:
     """Rows of ``df``, counting at most ``limit`` (remembered for file inputs)."""
-    files = sorted(df.inputFiles())
+    try:
+        files = sorted(df.inputFiles())
+        app = df.sparkSession.sparkContext.applicationId
+    except Exception:  # no file listing or context (e.g. Spark Connect): just count
+        files, app = [], None
     digest = hashlib.sha1("\n".join(files).encode()).hexdigest() if files else None
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), digest, limit) if files else None
+    key = (app, df.semanticHash(), digest, limit) if files else None
     if key is not None and key in _MEASURED:
         return _MEASURED[key]
     n = df.limit(limit).count()

@@ -62,7 +62,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``; a machine-local temp folder would not survive
     the loss of the executor that wrote it, so we refuse to invent one.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -68,6 +68,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             sinks.write_text(lines, args.out)
         else:
             lines.show(args.show, truncate=False)
+    elif c == "report":
+        out = args.out.rstrip("/")
+        with pageviews.shared_log(_log(spark, args)) as log:
+            for name, df in pageviews.report(log, args.gap_seconds).items():
+                if name == "gap_export":
+                    sinks.write_text(df, f"{out}/result.dat")
+                else:
+                    sinks.write_parquet(df, f"{out}/{name}")
     elif c == "load-pageviews":
         log = _log(spark, args)
         sinks.write_keyed_table(keyed_pageviews.load_pageviews(log, target=_table(spark, args.into)), args.table)
@@ -144,6 +152,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--gap-seconds", type=float, default=600)
     p.add_argument("--whole-seconds", action="store_true", help="compare whole epoch seconds")
     p.add_argument("--fill-nulls", action="store_true")
+    p = sub.add_parser("report", help="every page-view answer in one go, one cached scan (writes under --out)")
+    p.add_argument("--log", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--gap-seconds", type=float, default=600)
     p = cmd("load-pageviews", "load the log into the cookie-keyed table (and the visit-keyed one)")
     p.add_argument("--log", required=True)
     p.add_argument("--table", required=True, help="output folder of the cookie-keyed table")

@@ -6,6 +6,9 @@ Orders carry tie-breakers so answers are deterministic.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,3 +111,35 @@ def gap_export(log: DataFrame, gap_seconds: float = 600, fill_nulls: bool = Fals
 def gap_export_whole_seconds(log: DataFrame, gap_seconds: int = 600_000, fill_nulls: bool = False) -> DataFrame:
     """Tab-joined export using the whole-second comparison."""
     return export_lines(gap_rows_whole_seconds(log, gap_seconds), fill_nulls)
+
+
+# ------------------------------------------------------ all answers together
+
+# The columns the answers above read; the rest of the log is never cached.
+REPORT_COLUMNS = ["guid", "timeCreate", "cookieCreate", "path", "ip", "domain", "locId", "osCode", "browserCode"]
+
+
+@contextmanager
+def shared_log(log: DataFrame):
+    """The log's report columns, cached (spilling to disk) while in use.
+
+    Several answers over one log then scan the source once; the cache is
+    released on exit. A lost cached block is recomputed from the source.
+    """
+    narrow = log.select(*REPORT_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield narrow
+    finally:
+        narrow.unpersist()
+
+
+def report(log: DataFrame, gap_seconds: float = 600) -> dict[str, DataFrame]:
+    """Every page-view answer over ``log`` (lazy; pass a ``shared_log``)."""
+    return {
+        "top_url_per_guid_day": top_url_per_guid_day(log),
+        "top_ips_by_guid": top_ips_by_guid(log),
+        "top_domains": top_domains(log),
+        "top_locations_by_ip": top_locations_by_ip(log),
+        "top_browser_per_os": top_browser_per_os(log),
+        "gap_export": gap_export(log, gap_seconds),
+    }

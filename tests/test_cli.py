@@ -94,3 +94,23 @@ def test_every_other_command_runs(spark, tmp_dir, capsys):
     _run(spark, "titles", "--keyed", keyed_titles, "--titles", titles, "--emp", "82", "--out", os.path.join(tmp_dir, "t"))
     assert [r.title for r in spark.read.parquet(os.path.join(tmp_dir, "t")).collect()] == ["Staff"]
     assert "guid" in capsys.readouterr().out
+
+
+def test_report_writes_every_answer_from_one_cached_scan(spark, tmp_dir):
+    from pagetrail.plans import pageviews
+
+    log = os.path.join(tmp_dir, "log")
+    pv_rows(spark, [
+        view(g, f"2024-01-05 1{g}:20:00", cookie=f"2024-01-05 1{g}:00:00", path=f"/{g % 2}", ip=g % 3)
+        for g in range(1, 8)
+    ]).drop("event_id").write.parquet(log)
+    out = os.path.join(tmp_dir, "report")
+    _run(spark, "report", "--log", log, "--out", out)
+    src = spark.read.parquet(log)
+    for name, df in pageviews.report(src).items():
+        if name == "gap_export":
+            got = sorted(r.value for r in spark.read.text(os.path.join(out, "result.dat")).collect())
+            assert got == sorted(r.concatenated for r in df.collect()) and len(got) == 7
+        else:
+            assert sorted(spark.read.parquet(os.path.join(out, name)).collect()) == sorted(df.collect())
+    assert not spark.sparkContext._jsc.getPersistentRDDs()  # cache released

@@ -30,12 +30,13 @@ def fit(points: DataFrame, k: int, seed: int = KMEANS_SEED, max_iter: int = 20)
     """Fit k-means (k-means|| initialisation, other settings default).
 
     Every iteration is a distributed pass over the points (partial sums per
-    task; only k centres per task reach the driver). The assembled points
-    are spread over the cluster when their scan is narrower than it, and
-    kept in memory (spilling to disk) for the iterations, then released; a
-    lost cached block is recomputed from its lineage.
+    task; only k centres per task reach the driver). The feature vectors —
+    the only column the iterations read — are spread over the cluster when
+    the scan is narrower than it, and kept in memory (spilling to disk) for
+    the iterations, then released; a lost cached block is recomputed from
+    its lineage.
     """
-    features = assemble(spread(points)).persist(StorageLevel.MEMORY_AND_DISK)
+    features = assemble(spread(points)).select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(features)
     finally:

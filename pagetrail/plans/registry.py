@@ -40,8 +40,8 @@ def _pv(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.pageview(spark, sf)
 
 
-def _flat(spark: SparkSession, sf: str) -> DataFrame:
-    return workforce.flatten_dept_emp(
+def _hr(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    return (
         fixtures.dept_emp(spark, sf),
         fixtures.employees(spark, sf),
         fixtures.departments(spark, sf),
@@ -49,6 +49,10 @@ def _flat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _flat(spark: SparkSession, sf: str) -> DataFrame:
+    return workforce.flatten_dept_emp(*_hr(spark, sf))
+
+
 def _keyed_dept_emp(spark: SparkSession, sf: str) -> DataFrame:
     return workforce.load_dept_emp(_flat(spark, sf))
 
@@ -85,12 +89,8 @@ QUERIES: dict[str, Query] = {
     "emp_flat_count": lambda s, sf: workforce.flat_count(_flat(s, sf)),
     "emp_flat_salaries": lambda s, sf: workforce.load_salaries(fixtures.salaries(s, sf)),
     "emp_flat_titles": lambda s, sf: workforce.load_titles(fixtures.titles(s, sf)),
-    "emp_dept_employees": lambda s, sf: workforce.department_members(
-        _keyed_dept_emp(s, sf), fixtures.dept_emp(s, sf), DEPT_NO
-    ),
-    "emp_dept_managers": lambda s, sf: workforce.department_managers(
-        _keyed_dept_emp(s, sf), fixtures.dept_emp(s, sf), DEPT_NO
-    ),
+    "emp_dept_employees": lambda s, sf: workforce.department_from_tables(*_hr(s, sf), DEPT_NO),
+    "emp_dept_managers": lambda s, sf: workforce.department_from_tables(*_hr(s, sf), DEPT_NO, managers=True),
     "emp_payroll_on_date": lambda s, sf: workforce.payroll_on(fixtures.salaries(s, sf), PAYROLL_DATE),
     "emp_titles": lambda s, sf: workforce.titles_of_from_table(fixtures.titles(s, sf), EMP_NO),
     "emp_distinct_title_dates": lambda s, sf: workforce.title_dates(fixtures.titles(s, sf)),

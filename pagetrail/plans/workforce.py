@@ -128,6 +128,27 @@ def department_managers(keyed_dept_emp: DataFrame, dept_emp: DataFrame, dept_no:
     return got.where(F.col("dm_from_date").isNotNull()).select(*PERSON_COLUMNS)
 
 
+def department_from_tables(
+    dept_emp: DataFrame,
+    employees: DataFrame,
+    departments: DataFrame,
+    dept_manager: DataFrame,
+    dept_no: str,
+    managers: bool = False,
+) -> DataFrame:
+    """Members (or managers) of a department, with the keyed dept_emp table
+    loaded from these same tables.
+
+    A key ``dept_no_emp_no`` of the department comes only from dept_emp rows
+    of that department (employee numbers are numeric), so only those rows are
+    flattened and loaded; ``dept_no = d`` reaches the dept_emp scan.
+    """
+    mine = dept_emp.where(F.col("dept_no") == F.lit(dept_no))
+    keyed = load_dept_emp(flatten_dept_emp(mine, employees, departments, dept_manager))
+    fn = department_managers if managers else department_members
+    return fn(keyed, dept_emp, dept_no)
+
+
 def _as_date(d: str | dt.date) -> F.Column:
     return F.lit(d if isinstance(d, dt.date) else dt.date.fromisoformat(d))
 

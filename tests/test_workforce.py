@@ -36,6 +36,9 @@ def test_flatten_and_department_queries(spark):
     assert members == [1, 2]  # employee cells of d001_4 are absent -> skipped
     managers = [r.first_name for r in W.department_managers(keyed, dept_emp, "d001").collect()]
     assert managers == ["Bob"]
+    tables = (dept_emp, employees, departments, dept_manager)
+    assert sorted(r.emp_no for r in W.department_from_tables(*tables, "d001").collect()) == [1, 2]
+    assert [r.first_name for r in W.department_from_tables(*tables, "d001", managers=True).collect()] == ["Bob"]
 
 
 def test_manager_dates_survive_reput_without_them(spark):

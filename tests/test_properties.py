@@ -108,3 +108,49 @@ def test_hot_key_holding_a_third_of_rows(spark):
     counts = distinct_count(df, "row_key", "x", "n")
     assert counts.where("row_key = 0").collect()[0].n == 7
     assert [tuple(r) for r in top_k(counts, [("n", "desc"), ("row_key", "asc")], 1).collect()] == [(0, 7)]
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    views=st.lists(
+        st.tuples(st.sampled_from([3, 31, 13, 4]), st.integers(0, 3), st.integers(0, 23), st.sampled_from(["/a", "/b", "/c"])),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_narrowed_point_lookups_equal_the_full_load(spark, views):
+    import datetime as dt
+
+    from helpers import pv_rows, view
+
+    from pagetrail.plans import keyed_pageviews as K
+    from pagetrail.plans import workforce as W
+
+    rows = [
+        view(g, dt.datetime(2024, 1, 4 + d, h, 59, 59), cookie=dt.datetime(2024, 1, 4 + d, h), path=p, event_id=i)
+        for i, (g, d, h, p) in enumerate(views)
+    ]
+    log = pv_rows(spark, rows)
+    for guid, day in [(3, "2024-01-05"), (31, "2024-01-04"), (4, "2024-01-07")]:
+        full = [r.path for r in K.urls_of_guid_day(K.load_pageviews_by_visit(log), guid, day).collect()]
+        narrow = [r.path for r in K.urls_of_guid_day_from_log(log, guid, day).collect()]
+        assert narrow == full
+
+    dept_emp = spark.createDataFrame(
+        [(g, f"d00{d}", dt.date(1995, 1, 1), dt.date(9999, 1, 1)) for (g, d, _, _) in views],
+        "emp_no long, dept_no string, from_date date, to_date date",
+    )
+    employees = spark.createDataFrame(
+        [(g, dt.date(1960, 1, 1), f"n{g}", "x", "M", dt.date(1990, 1, 1)) for g in (3, 31, 4)],
+        "emp_no long, birth_date date, first_name string, last_name string, gender string, hire_date date",
+    )
+    departments = spark.createDataFrame([(f"d00{d}", f"D{d}") for d in range(4)], "dept_no string, dept_name string")
+    managers = dept_emp.groupBy("dept_no").agg(F.min("emp_no").alias("emp_no")).selectExpr(
+        "dept_no", "emp_no", "DATE'1995-01-01' AS from_date", "DATE'9999-01-01' AS to_date")
+    keyed = W.load_dept_emp(W.flatten_dept_emp(dept_emp, employees, departments, managers))
+    for d in ["d000", "d001"]:
+        for mgr in (False, True):
+            fn = W.department_managers if mgr else W.department_members
+            full = sorted(fn(keyed, dept_emp, d).collect())
+            narrow = sorted(W.department_from_tables(dept_emp, employees, departments, managers, d, managers=mgr).collect())
+            assert narrow == full

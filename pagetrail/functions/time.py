@@ -11,6 +11,8 @@ wide projections can be issued as one ``selectExpr``.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,3 +83,22 @@ def hour_floor(name: str, dtype: T.DataType) -> Column:
 def seconds_interval(seconds: int | float) -> Column:
     """A day-time interval of ``seconds`` seconds (works for both time types)."""
     return F.expr(f"INTERVAL '{float(seconds)!r}' SECOND")
+
+
+def millis_literal(millis: int, dtype: T.DataType) -> Column:
+    """A timestamp literal of the column's type for an epoch-millis instant."""
+    t = dt.datetime.fromtimestamp(millis / 1000, tz=dt.timezone.utc)
+    if is_ntz(dtype):
+        return F.expr(f"TIMESTAMP_NTZ '{t.replace(tzinfo=None).isoformat(sep=' ')}'")
+    return F.lit(t)
+
+
+def open_millis_range_hint(name: str, dtype: T.DataType, t1_millis: int, t2_millis: int) -> Column:
+    """``t1 < ts < t2`` on the raw timestamp column.
+
+    Implied by ``t1 < epoch_millis(ts) < t2`` (millis are floored), so adding
+    it never drops a row; unlike the millis form it is a plain column
+    comparison that Parquet can push down and prune row groups with.
+    """
+    c = F.col(name)
+    return (c > millis_literal(t1_millis, dtype)) & (c < millis_literal(t2_millis, dtype))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagetrail.functions.keys import join_key
-from pagetrail.functions.time import dtype_of, epoch_millis, epoch_millis_sql, q
+from pagetrail.functions.time import dtype_of, epoch_millis, epoch_millis_sql, open_millis_range_hint, q
 from pagetrail.operators.joins import bounded_broadcast
 from pagetrail.operators.keyed import keyed_upsert, prefix_scan
 from pagetrail.operators.topk import top_k
@@ -199,9 +199,15 @@ def last_visit_on_log(log: DataFrame, guid: int) -> DataFrame:
 def guids_os_browser_time_on_log(
     log: DataFrame, os_code: int, browser_code: int, t1_millis: int, t2_millis: int
 ) -> DataFrame:
-    """Views with the OS, browser and open time range, from the log."""
-    t = epoch_millis("timeCreate", dtype_of(log, "timeCreate"))
-    rows = log.select("guid", t.alias("timeCreate"), "osCode", "browserCode")
+    """Views with the OS, browser and open time range, from the log.
+
+    The range is also stated on the raw timestamp (an implied, never
+    narrower predicate), so the scan can skip row groups by time.
+    """
+    ttype = dtype_of(log, "timeCreate")
+    t = epoch_millis("timeCreate", ttype)
+    hinted = log.where(open_millis_range_hint("timeCreate", ttype, t1_millis, t2_millis))
+    rows = hinted.select("guid", t.alias("timeCreate"), "osCode", "browserCode")
     return rows.where(
         (F.col("osCode") == F.lit(os_code))
         & (F.col("browserCode") == F.lit(browser_code))

@@ -46,3 +46,8 @@ def test_point_lookups_reach_the_scan(spark):
     assert "EqualTo(user_id,3)" in p
     p = _plan(E.queries()["emp_titles"](spark, SF))
     assert "EqualTo(o_custkey,82)" in p
+
+
+def test_time_range_reaches_the_scan(spark):
+    p = _plan(E.queries()["kv_guids_os_browser_time_log"](spark, SF))
+    assert "GreaterThan(ts,2024-01-05T00:00)" in p and "LessTh" in p  # the plan string cuts long filter lists

@@ -1,7 +1,8 @@
 """Command line: run one job on Parquet / text inputs.
 
-    spark-submit --py-files pagetrail.zip -m pagetrail <command> [options]
     python -m pagetrail <command> [options]          # local session
+    zip -r pagetrail.zip pagetrail
+    spark-submit --py-files pagetrail.zip pagetrail/__main__.py <command> [options]
 
 Every command reads its inputs, runs the job's DataFrame function and either
 shows the answer (``--show N``, default 20 rows) or writes it (``--out``,

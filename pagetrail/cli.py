@@ -31,6 +31,8 @@ def _millis(s: str) -> int:
 
 
 def _emit(df: DataFrame, args: argparse.Namespace) -> None:
+    if getattr(args, "explain", False):
+        df.explain("formatted")
     if args.out:
         sinks.write_parquet(df, args.out)
     else:
@@ -130,6 +132,7 @@ def parser() -> argparse.ArgumentParser:
         p = sub.add_parser(name, help=help_)
         p.add_argument("--out", help="write the answer here (Parquet) instead of showing it")
         p.add_argument("--show", type=int, default=20, help="rows to show")
+        p.add_argument("--explain", action="store_true", help="print the physical plan first")
         return p
 
     p = cmd("tsv-to-parquet", "raw tab-separated log -> Parquet (overwrite)")

@@ -12,6 +12,7 @@ operators  keyed tables (upsert / multi-get / range scan), top-k, joins
 plans      the end-to-end answers (page views, keyed look-ups, workforce,
            k-means, word count) and the fixtures derived from driver tables
 streaming  micro-batch loading of page views into a keyed table
+cli        ``python -m pagetrail <command>``: every job on Parquet / text inputs
 """
 
 __version__ = "0.1.0"

@@ -71,7 +71,7 @@ def keyed(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> D
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=["vec_id", "vector", "label", "class_key"])
 
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).alias("label"))
-    schema = rows.schema.add("class_key", "binary")
+    schema = rows.select("*").schema.add("class_key", "binary")  # a copy, as add() changes it
     return rows.mapInArrow(run, schema)
 
 

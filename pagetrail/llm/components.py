@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,3 +53,16 @@ def components(edges: DataFrame) -> DataFrame:
         raise RuntimeError(f"components have not settled in {MAX_ROUNDS} rounds")
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+
+
+def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of n rows the least row that links (i, j) connect it with."""
+    root = np.arange(n)
+    while True:
+        low = root.copy()
+        np.minimum.at(low, i, root[j])
+        np.minimum.at(low, j, root[i])
+        low = np.minimum(low, low[low])
+        if (low == root).all():
+            return root
+        root = low

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm.components import components
+from pagetrail.llm.components import components, forest
 from pagetrail.llm.shared import stored, table
 
 COSINE = 0.98
@@ -130,19 +130,6 @@ def linked_in(block: pa.Table, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     return i[first == table_no], j[first == table_no]
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of n rows the least row that links (i, j) connect it with."""
-    root = np.arange(n)
-    while True:
-        low = root.copy()
-        np.minimum.at(low, i, root[j])
-        np.minimum.at(low, j, root[i])
-        low = np.minimum(low, low[low])
-        if (low == root).all():
-            return root
-        root = low
-
-
 def compare_blocks(codes: DataFrame, cosine: float) -> DataFrame:
     """(rep, n_links, root) sums and edges of each pair of blocks with a link.
 

@@ -5,13 +5,14 @@ minimum and its maximum, so a signature of 2K values costs K evaluations per
 shingle. Bands of values select candidates; every link is confirmed on the
 full shingle sets.
 
-Documents with equal sets are one class first. Then buckets are linked in
-rounds: each member is compared with its bucket's pivot, confirmed links
-are joined to components, and what remains are only buckets with members of
-several components, whose pairs across components are compared as well, if
-sizes and their distances to the pivot allow a link at all (Jaccard distance
-is a metric). So a group of thousands of near copies costs a star, not all
-its pairs, and no pair that could link two components is left out.
+Documents with equal sets are one class first. Each class is compared with
+the pivot of each of its buckets, so a group of thousands of near copies
+costs a star and not all its pairs, and the confirmed links give components.
+Two members of a star may still be linked across components. Stars with
+members of several components are therefore compared in blocks, by what each
+member has outside its pivot and lacks of it: that gives the exact common
+size of any two. A task compares two blocks and returns a spanning forest of
+the links, never the pairs, so no link between components is left out.
 """
 
 from __future__ import annotations
@@ -25,12 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm.components import components
+from pagetrail.llm.components import components, forest
 from pagetrail.llm.shared import mix64, stored, table, text_slices
 
-#: A pair of similarity 0.85 misses all 20 bands of 4 with probability 4e-7, one of 0.8 with 3e-5 (28 bands: 5e-7).
+#: A pair of similarity 0.85 shares no band with probability 1e-9, one of 0.8 with 5e-7.
 BANDS, ROWS = 28, 4
-STAR_ROUNDS = 2
+#: Members of a star's block.
+BLOCK = 512
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -120,33 +122,54 @@ def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: st
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, common) of pairs (a, b) whose full sets are similar enough.
+def _compared(pairs: DataFrame, texts: DataFrame, words: int, sets: bool = False) -> DataFrame:
+    """(a, b, n_a, n_b, both) of pairs (a, b): sizes of the full sets and of what they share.
 
-    ``common`` is their Jaccard similarity. Pairs come sorted by b within a
-    task, so that the set of a pivot is made once for its run of pairs.
+    With ``sets`` also ``added`` and ``missing``: what a has outside b, and
+    lacks of it. Pairs come sorted by b within a task, so that the set of a
+    pivot is made once for its run of pairs.
     """
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    names = ["a", "b", "n_a", "n_b", "both", *["added", "missing"][: 2 * sets]]
+    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2 * sets
 
     def run(batches):
         hashes, last, last_set = Words(), None, None
         for batch in batches:
-            out: tuple[list, list, list] = ([], [], [])
+            out = []
             for i in range(batch.num_rows):
                 a, b = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 if b != last:
                     last, last_set = b, shingles(words_of(batch.column(3)[i].as_py()), words, hashes)
                 own = shingles(words_of(batch.column(2)[i].as_py()), words, hashes)
-                both = len(np.intersect1d(own, last_set, assume_unique=True))
-                either = len(own) + len(last_set) - both
-                out[0].append(a)
-                out[1].append(b)
-                out[2].append(both / either)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["a", "b", "similar"])
-
-    return rows.mapInArrow(run, "a long, b long, similar double")
+                both = np.intersect1d(own, last_set, assume_unique=True)
+                row = (a, b, len(own), len(last_set), len(both))
+                if sets:
+                    row += tuple(np.setdiff1d(x, both, assume_unique=True).view(np.int64) for x in (own, last_set))
+                out.append(row)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(map(list, zip(*out, strict=True)), kinds, strict=True)], names=names)
+
+    return rows.mapInArrow(run, "a long, b long, n_a long, n_b long, both long" + ", added array<long>, missing array<long>" * sets)
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Common sizes of every two of sorted sets, one of each list."""
+    flat = np.concatenate([*left, *right])
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    values, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    column = np.full(len(values), -1)
+    column[n > 1] = np.arange((n > 1).sum())
+    owner, at = owner[column[at] >= 0], column[at][column[at] >= 0]
+    total = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int((n > 1).sum()), 4096):
+        here = (at >= low) & (at < low + 4096)
+        has = np.zeros((len(left) + len(right), 4096), np.float32)
+        has[owner[here], at[here] - low] = 1
+        total += has[: len(left)] @ has[len(left) :].T
+    return total.astype(np.int64)
 
 
 def near_duplicates(docs: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -171,15 +194,14 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, id_col: str = "do
     # repeated ids may differ in text: the class's own text is the one with its set, and the rows of a class share it
     texts = stored(texts.join(needed, "doc_id").dropDuplicates(["doc_id"]), "texts")
 
-    star = stored(_verified(members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct(), texts, words, percent), "star")
-    linked = F.round(F.col("similar") * 1e9) >= percent * 1e7
-    links = star.where(linked).select("a", "b")
+    pairs = members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
+    linked = F.col("both") * 100 >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))
+    star = stored(_compared(pairs, texts, words).withColumn("linked", linked), "star")
+    links = star.where("linked").select("a", "b")
     roots = components(links)
-    rest = _across(members, roots, star, percent)
-    if rest.limit(1).count():
-        more = stored(_verified(rest, texts, words, percent), "across")
-        links = links.unionByName(more.where(linked).select("a", "b"))
-        roots = components(links)
+    more = stored(_across(star, roots, texts, words, percent), "across")
+    if more.limit(1).count():
+        roots = components(links.unionByName(more))
     of_class = classes.select("set_key", "rep").join(roots, F.col("rep") == F.col("node"), "left")
     of_class = stored(of_class.select("set_key", F.coalesce("root", "rep").alias("root")), "roots")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
@@ -191,29 +213,37 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, id_col: str = "do
     )
 
 
-def _across(members: DataFrame, roots: DataFrame, star: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that lie in different components and may be similar.
-
-    With s the threshold, a pair needs n_a >= s * n_b, and distances to the
-    common pivot that differ by at most 1 - s.
-    """
-    s = percent / 100
-    named = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    named = named.join(star.select(F.col("a").alias("rep"), F.col("b").alias("pivot"), (1 - F.col("similar")).alias("far")), ["rep", "pivot"], "left")
-    named = named.withColumn("far", F.coalesce("far", F.lit(0.0)))
-    mixed = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
-    named = stored(named.join(mixed, "bucket", "left_semi"), "mixed")
-    x, y = named.alias("x"), named.alias("y")
-    possible = (
-        (F.col("x.bucket") == F.col("y.bucket"))
-        & (F.col("x.rep") > F.col("y.rep"))
-        & (F.col("x.root") != F.col("y.root"))
-        & (F.col("x.pivot") != F.col("x.rep"))
-        & (F.col("y.pivot") != F.col("y.rep"))
-        & (F.least("x.n", "y.n") >= s * F.greatest("x.n", "y.n") - 1e-6)
-        & (F.abs(F.col("x.far") - F.col("y.far")) <= 1 - s + 1e-9)
-    )
-    return stored(x.join(y, possible).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "rest")
+def _across(star: DataFrame, roots: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) of members of one star that lie in different components: a spanning forest of each two blocks."""
+    named = star.join(roots.select(F.col("node").alias("a"), "root"), "a", "left").select("a", "b", F.coalesce("root", "a").alias("root"))
+    mixed = named.groupBy("b").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    mixed = stored(mixed.select("b", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
+    few = stored(named.join(mixed, "b"), "few")
+    sets = _compared(few.select("a", "b"), texts, words, sets=True).join(few, ["a", "b"])
+    held = sets.withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int"))
+    dealt = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+
+    def run(block: pa.Table) -> pa.Table:
+        own = block["block"].to_numpy()
+        left = np.flatnonzero(own == block["low"][0].as_py())
+        right = np.flatnonzero(own == block["high"][0].as_py())
+        a, n, root = (block[c].to_numpy() for c in ("a", "n_a", "root"))
+        pivot = block["n_b"][0].as_py()
+        added, missing = ([np.array(x, np.int64) for x in block[c].to_pylist()] for c in ("added", "missing"))
+        lacks = np.array([len(x) for x in missing])
+        pick = lambda sets, at: [sets[i] for i in at]
+        both = pivot - lacks[left][:, None] - lacks[right][None, :]
+        both += _shared(pick(missing, left), pick(missing, right)) + _shared(pick(added, left), pick(added, right))
+        link = 100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)
+        i, j = np.nonzero(link & (root[left][:, None] != root[right][None, :]))
+        top = forest(len(a), left[i], right[j])
+        got = np.flatnonzero(top != np.arange(len(a)))
+        return pa.Table.from_arrays([pa.array(a[got], pa.int64()), pa.array(a[top[got]], pa.int64())], names=["a", "b"])
+
+    columns = ["b", "low", "high", "block", "a", "n_a", "n_b", "root", "added", "missing"]
+    found = dealt.select(F.col("b").alias("pivot"), *columns[1:]).groupBy("pivot", "low", "high").applyInArrow(run, "a long, b long")
+    return found.distinct()
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

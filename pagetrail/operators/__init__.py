@@ -1,17 +1,14 @@
-from pagetrail.operators.joins import bounded_broadcast, count_up_to, materialize, spread
+from pagetrail.operators.joins import salted_join
 from pagetrail.operators.keyed import keyed_upsert, multi_get, prefix_scan, range_scan
 from pagetrail.operators.topk import order_columns, top_k, top_per_group
 
 __all__ = [
-    "bounded_broadcast",
-    "count_up_to",
     "keyed_upsert",
-    "materialize",
     "multi_get",
     "order_columns",
     "prefix_scan",
     "range_scan",
-    "spread",
+    "salted_join",
     "top_k",
     "top_per_group",
 ]

@@ -1,89 +1,30 @@
-"""Join helpers: broadcast only behind a size check.
+"""Join helpers.
 
-``bounded_broadcast`` counts at most ``max_rows + 1`` rows of the candidate
-side; when it fits, the side is hinted for a broadcast hash join, otherwise
-the plain join is left to the planner (sort-merge or shuffled hash join,
-with AQE splitting skewed partitions). The side can first be checkpointed to
-the shared checkpoint folder so that the count and the join read one
-materialised copy instead of computing an expensive side twice.
+No join is forced: the planner broadcasts a side whose size in bytes is below
+``spark.sql.autoBroadcastJoinThreshold``, and adaptive execution does the same
+with the sizes that it has measured.
 """
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetrail.session import checkpoint_dir
+#: Parts into which the rows of one key are dealt.
+SALTS = 16
 
-# Upper bound for a broadcast side. Callers project the side down to the
-# few columns the join needs, so this is a few tens of MB at most.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
+def salted_join(rows: DataFrame, lookup: DataFrame, key: str, spread_by: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Inner join of many ``rows`` with ``lookup`` on ``key``; a key's rows go to ``salts`` tasks.
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
-
-    A reliable checkpoint survives the loss of the executors that computed
-    it, unlike cached blocks or a local checkpoint.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-# Row counts already measured in this session, keyed by the canonical plan
-# and its input files: like table statistics from ANALYZE TABLE, an
-# immutable input is counted once. Only the "fits / does not fit" answer is
-# kept, never data.
-_MEASURED: dict[tuple, int] = {}
-
-
-def count_up_to(df: DataFrame, limit: int) -> int:
-    """Rows of ``df``, counting at most ``limit`` (remembered for file inputs)."""
-    try:
-        files = sorted(df.inputFiles())
-        app = df.sparkSession.sparkContext.applicationId
-    except Exception:  # no file listing or context (e.g. Spark Connect): just count
-        files, app = [], None
-    digest = hashlib.sha1("\n".join(files).encode()).hexdigest() if files else None
-    key = (app, df.semanticHash(), digest, limit) if files else None
-    if key is not None and key in _MEASURED:
-        return _MEASURED[key]
-    n = df.limit(limit).count()
-    if key is not None:
-        _MEASURED[key] = n
-    return n
-
-
-def bounded_broadcast(
-    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, materialize_first: bool = False
-) -> DataFrame:
-    """Return ``df`` hinted for broadcast if it has at most ``max_rows`` rows.
-
-    The count stops after ``max_rows + 1`` rows. Over file inputs the
-    answer is remembered for the session; a ``materialize_first`` side is a
-    fresh checkpoint and is always counted.
-    """
-    if materialize_first:
-        df = materialize(df)
-        n = df.limit(max_rows + 1).count()
-    else:
-        n = count_up_to(df, max_rows + 1)
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster when its scan is narrower than that.
-
-    A scan gets one task per file split; a small input stored as one row
-    group then runs CPU-heavy work (tokenising, iterative fitting) in a
-    single task. On big inputs the scan is already wider than the cluster
-    and this returns ``df`` unchanged, so no shuffle is added at scale.
+    For a ``lookup`` that is the result of an aggregation: adaptive execution
+    does not split a skewed join on top of one, so a key that owns a third of
+    the rows would be one task. ``lookup`` is repeated ``salts`` times, and a
+    row's part follows from its ``spread_by`` columns, so that a task that is
+    run again deals its rows alike.
     """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session has no RDD view: leave as is
-        return df
-    return df.repartition(want) if have < want else df
+    left = rows.withColumn("__salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    right = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [key, "__salt"], "inner").drop("__salt")

@@ -5,12 +5,11 @@ a null cell means "never written". Writes are last-writer-wins *per cell*:
 a later put replaces the cells it carries and leaves the others as they were.
 
 * ``keyed_upsert`` — merge a batch of puts into a table (or build one).
-  Per cell: ``max_by(cell, version)`` over the puts that carry the cell, one
+  Per cell: ``max_by(cell, order)`` over the puts that carry the cell, one
   aggregation on the key. When no cell can be absent the winner is a whole
   put: ``row_number() = 1`` per key. Both combine map-side before the
   shuffle (partial aggregation / partial WindowGroupLimit), so a key that
-  owns a third of all rows never lands whole in one task. A small batch
-  merged into a big table shuffles only the keys it touches.
+  owns a third of all rows never lands whole in one task.
 * ``multi_get`` — look up a set of keys (with multiplicity) and project cells.
 * ``range_scan`` / ``prefix_scan`` — rows with ``start <= row_key < stop``.
   On a table written sorted by key (``sinks.write_keyed_table``) the
@@ -27,7 +26,6 @@ from pyspark.sql import functions as F
 
 from pagetrail.functions.keys import prefix_successor
 from pagetrail.functions.time import q
-from pagetrail.operators.joins import DEFAULT_BROADCAST_ROWS, count_up_to, bounded_broadcast
 from pagetrail.operators.topk import top_per_group
 from pagetrail.schemas import ROW_KEY, resolve_cell
 
@@ -37,80 +35,61 @@ _BATCH = "__batch"
 def keyed_upsert(
     updates: DataFrame,
     cells: Sequence[str],
-    version: Sequence[str] = (),
-    key: str = ROW_KEY,
+    version: Sequence[str],
+    key: str | Sequence[str] = ROW_KEY,
     target: DataFrame | None = None,
     count_as: str | None = None,
     count_where: Column | None = None,
-    incremental_keys: int | None = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Last-writer-wins merge of ``updates`` into ``target`` (None = empty).
 
-    ``version`` columns order the puts inside one batch (greater wins, e.g.
-    event time then a unique id); every row of ``updates`` is later than
+    ``version`` columns order the puts inside one batch (greater wins, null
+    least); they must order the puts of a key totally, e.g. event time then a
+    unique id, or the cells themselves. Every row of ``updates`` is later than
     every row of ``target``. Rows without a key cannot be stored in a keyed
-    table and are not written. Returns ``key`` + ``cells`` (+ ``count_as``,
-    the number of update rows put on each key — only those satisfying
-    ``count_where`` when given).
-
-    Merging into a big ``target``: when the batch touches at most
-    ``incremental_keys`` distinct keys (counted), those keys are broadcast;
-    target rows with other keys pass through a map-side anti join untouched
-    and only the touched rows are shuffled and merged with the batch, so a
-    small batch never reshuffles the whole table. Above the bound (or with
-    ``incremental_keys=None``) every row of both sides is merged.
+    table and are not written. A batch may carry some of the cells only:
+    those of ``cells`` that it has as columns. Returns the key, the cells of
+    the target and those of the batch (+ ``count_as``, the number of update
+    rows put on each key — only those satisfying ``count_where`` when given).
+
+    ``key`` may be several typed columns, which spares a shuffle when the
+    rows are already dealt by them.
     """
-    cells = list(cells)
-    if target is not None and incremental_keys and not count_as:
-        batch_keys = updates.where(F.col(key).isNotNull()).select(key).distinct()
-        if count_up_to(batch_keys, incremental_keys + 1) <= incremental_keys:
-            kb = F.broadcast(batch_keys)
-            tgt = target.select(key, *[c for c in cells if c in target.columns])
-            untouched = tgt.join(kb, key, "left_anti")
-            touched = tgt.join(kb, key, "left_semi")
-            merged = keyed_upsert(updates, cells, version, key, target=touched, incremental_keys=None)
-            return untouched.unionByName(merged, allowMissingColumns=True).select(key, *cells)
-    version = [v for v in version]
-    extra = [v for v in version if v not in cells]
-    upd = updates.where(F.col(key).isNotNull())
+    if not version:
+        raise ValueError("an upsert needs version columns that order the puts of a key")
+    keys = [key] if isinstance(key, str) else list(key)
+    carried = [c for c in cells if c in updates.columns]
+    kept = [c for c in target.columns if c not in keys] if target is not None else []
+    all_cells = [*kept, *[c for c in carried if c not in kept]]
+    extra = [v for v in version if v not in carried and v not in keys]
+    upd = updates.where(F.expr(" AND ".join(f"{q(k)} IS NOT NULL" for k in keys)))
     counted_flag = (count_where if count_where is not None else F.lit(True)).cast("long")
-    upd = upd.select(key, *cells, *extra, F.lit(1).alias(_BATCH), counted_flag.alias("__counted"))
+    upd = upd.select(*keys, *carried, *extra, F.lit(1).alias(_BATCH), counted_flag.alias("__counted"))
     if target is not None:
-        tgt = target.select(key, *[c for c in cells if c in target.columns])
-        tgt = tgt.withColumn(_BATCH, F.lit(0)).withColumn("__counted", F.lit(0).cast("long"))
+        tgt = target.select(*keys, *kept).withColumn(_BATCH, F.lit(0)).withColumn("__counted", F.lit(0).cast("long"))
         rows = tgt.unionByName(upd, allowMissingColumns=True)
     else:
         rows = upd
     counted = [F.sum(F.col("__counted")).cast("long").alias(count_as)] if count_as else []
-    if target is None and not any(upd.schema[c].nullable for c in cells):
+    if target is None and not any(upd.schema[c].nullable for c in carried):
         # No cell can be absent, so every cell of a key comes from the same
         # winning put: pick whole puts, not one arg-max per cell.
         if not count_as:
             # row_number = 1 per key, cut to one row per key and task
             # before the shuffle (partial WindowGroupLimit).
-            best = top_per_group(upd, [key], [(v, "desc") for v in version], n=1, rank_col=None)
-            return best.select(key, *cells)
+            best = top_per_group(upd, keys, [(v, "desc") for v in version], n=1, rank_col=None)
+            return best.select(*keys, *carried)
         # With a count the winner is a struct max next to the sum, both
         # partial-aggregated map-side.
-        payload = [*version, *[c for c in cells if c not in version]]
+        payload = [*version, *[c for c in carried if c not in version]]
         win = F.expr("max(struct(" + ", ".join(q(c) for c in payload) + "))").alias("__win")
-        out = rows.groupBy(key).agg(win, *counted)
-        return out.select(key, *[F.col("__win")[c].alias(c) for c in cells], count_as)
-    # Per cell: the value of the greatest put that carries the cell. Without
-    # a target the batch number is constant and left out; a single order
-    # column is used as is, so fixed-width cells keep a hash aggregation
-    # (a struct order would force a sort-based one).
-    order_cols = ([_BATCH] if target is not None else []) + [q(v) for v in version]
-    if not order_cols:
-        order = "1"
-    elif len(order_cols) == 1:
-        order = order_cols[0]
-    else:
-        order = "struct(" + ", ".join(order_cols) + ")"
-    merged = [
-        F.expr(f"max_by({q(c)}, CASE WHEN {q(c)} IS NOT NULL THEN {order} END)").alias(c) for c in cells
-    ]
-    return rows.groupBy(key).agg(*merged, *counted)
+        out = rows.groupBy(*keys).agg(win, *counted)
+        return out.select(*keys, *[F.col("__win")[c].alias(c) for c in carried], count_as)
+    # Per cell: the value of the greatest put that carries the cell. The
+    # order is a struct, so that a null version is the least one, not none.
+    order = "struct(" + ", ".join([_BATCH, *map(q, version)]) + ")"
+    merged = [F.expr(f"max_by({q(c)}, CASE WHEN {q(c)} IS NOT NULL THEN {order} END)").alias(c) for c in all_cells]
+    return rows.groupBy(*keys).agg(*merged, *counted)
 
 
 def multi_get(
@@ -119,7 +98,6 @@ def multi_get(
     cells: Sequence[str],
     key: str = ROW_KEY,
     keep_missing: bool = False,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
     families: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """Fetch ``cells`` for every row of ``keys`` (duplicates fetch twice).
@@ -128,11 +106,7 @@ def multi_get(
     named ``family:cell``; the answer's columns are the bare cell names.
 
     ``keep_missing=False`` skips keys that are absent from the table (inner
-    join); the key set is then broadcast only when a count shows it has at
-    most ``broadcast_rows`` rows, else the planner shuffles both sides on the
-    key. ``keep_missing=True`` keeps absent keys with null cells (left outer
-    join); the key side is the preserved side and so is streamed, never
-    broadcast.
+    join), ``keep_missing=True`` keeps them with null cells (left outer join).
     """
     if families is not None:
         cells = [resolve_cell(families, c) for c in cells]
@@ -140,8 +114,6 @@ def multi_get(
     t = table.select(key, *cells)
     if keep_missing:
         return k.join(t, key, "left").select(key, *cells)
-    if broadcast_rows:
-        k = bounded_broadcast(k, broadcast_rows)
     return t.join(k, key, "inner").select(key, *cells)
 
 

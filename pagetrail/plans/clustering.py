@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagetrail.operators.joins import spread
-
 # The seed of the clustering.
 KMEANS_SEED = 1
 
@@ -31,21 +29,27 @@ def fit(points: DataFrame, k: int, seed: int = KMEANS_SEED, max_iter: int = 20)
 
     Every iteration is a distributed pass over the points (partial sums per
     task; only k centres per task reach the driver). The feature vectors —
-    the only column the iterations read — are spread over the cluster when
-    the scan is narrower than it, and kept in memory (spilling to disk) for
-    the iterations, then released; a lost cached block is recomputed from
-    its lineage.
+    the only column the iterations read — are kept in memory (spilling to
+    disk) for the iterations, then released; a lost cached block is
+    recomputed from its lineage.
     """
-    features = assemble(spread(points)).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    features = assemble(points).select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(features)
     finally:
         features.unpersist()
 
 
+def _order(model: KMeansModel) -> list[int]:
+    """Positions of the model's centres, sorted by their coordinates: the fit's own numbering is not stable."""
+    found = [tuple(map(float, c)) for c in model.clusterCenters()]
+    return sorted(range(len(found)), key=lambda i: found[i])
+
+
 def centers(model: KMeansModel, spark) -> DataFrame:
-    """Cluster centres as rows (cluster, x, y) — k rows."""
-    rows = [(i, float(c[0]), float(c[1])) for i, c in enumerate(model.clusterCenters())]
+    """Cluster centres as rows (cluster, x, y) — k rows, numbered in order of (x, y)."""
+    found = model.clusterCenters()
+    rows = [(n, float(found[i][0]), float(found[i][1])) for n, i in enumerate(_order(model))]
     schema = T.StructType(
         [
             T.StructField("cluster", T.IntegerType(), False),
@@ -57,9 +61,28 @@ def centers(model: KMeansModel, spark) -> DataFrame:
 
 
 def assign(model: KMeansModel, points: DataFrame) -> DataFrame:
-    """Every point with its cluster: x, y, features (as array<double>), prediction."""
+    """Every point with its cluster, numbered as in ``centers``: x, y, features (as array<double>), prediction."""
     out = model.transform(assemble(points))
-    return out.select("x", "y", vector_to_array("features").alias("features"), "prediction")
+    number = {i: n for n, i in enumerate(_order(model))}
+    named = F.element_at(F.array(*[F.lit(number[i]) for i in range(len(number))]), F.col("prediction") + 1)
+    return out.select("x", "y", vector_to_array("features").alias("features"), named.alias("prediction"))
+
+
+def assign_given(points: DataFrame, given: list[tuple[float, float]]) -> DataFrame:
+    """Every point with the nearest of given centres (x, y, prediction); the first of equally near ones."""
+    clean = points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    x, y = F.col("x").cast("double"), F.col("y").cast("double")
+    far = [(x - a) * (x - a) + (y - b) * (y - b) for a, b in given]
+    least = F.least(*far) if len(far) > 1 else far[0]
+    nearest = F.coalesce(*[F.when(f == least, F.lit(i)) for i, f in enumerate(far)])
+    return clean.select("x", "y", nearest.alias("prediction"))
+
+
+def step(points: DataFrame, given: list[tuple[float, float]]) -> DataFrame:
+    """One update of given centres: (cluster, n, x, y), the means of each centre's points to 6 digits."""
+    return assign_given(points, given).groupBy(F.col("prediction").alias("cluster")).agg(
+        F.count("*").alias("n"), F.round(F.avg("x"), 6).alias("x"), F.round(F.avg("y"), 6).alias("y")
+    )
 
 
 def kmeans_centers(points: DataFrame, k: int, seed: int = KMEANS_SEED) -> DataFrame:

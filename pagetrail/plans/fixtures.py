@@ -12,11 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetrail.functions.time import hour_floor_sql
-from pagetrail.operators.joins import bounded_broadcast
+from pagetrail.operators.joins import salted_join
 from pagetrail.sources.files import read_table
 
 # Fixed values of the derivation (chosen for this test bed, see FIXTURES.md).
-PAGES_USED = 50  # events map onto pages 0..49 by event_id % 50
 BIRTH_DATE = "1960-01-01"
 HIRE_DATE = "1990-01-01"
 FROM_DATE = "1995-01-01"
@@ -24,11 +23,12 @@ OPEN_END = "9999-01-01"
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # ``event_id % 50`` lies in (-50, 50), so only those pages can match; the
-    # filter reaches the Parquet scan and bounds the broadcast side.
-    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
-    pages = pages.where((F.col("page_id") > -PAGES_USED) & (F.col("page_id") < PAGES_USED))
-    return bounded_broadcast(pages, max_rows=100_000)
+    """All pages (page_id 0 to n - 1) with domain and path, taken apart once per page."""
+    return read_table(spark, sf_dir, "pages").selectExpr(
+        "page_id",
+        "regexp_extract(url, '^https?://([^/?#]+)', 1) AS domain",
+        "regexp_extract(url, '^https?://[^/?#]+(/[^?#]*)', 1) AS path",
+    )
 
 
 # The page-view columns derived from one event and its page (fixed values of
@@ -40,12 +40,12 @@ _PAGEVIEW_EXPRS = [
     "concat('v', CAST(event_id % 9 AS STRING)) AS browserVer",
     "CAST(event_id % 7 AS INT) AS osCode",
     "concat('o', CAST(event_id % 4 AS STRING)) AS osVer",
-    "CAST((event_id * 17 + user_id) % 101 AS BIGINT) AS ip",
+    "CAST((event_id * 17 + user_id) % 4001 AS BIGINT) AS ip",
     "CAST(event_id % 13 AS INT) AS locId",
-    "regexp_extract(url, '^https?://([^/?#]+)', 1) AS domain",
+    "domain",
     "CAST(event_id % 6 AS INT) AS siteId",
     "CAST(event_id % 8 AS INT) AS cId",
-    "regexp_extract(url, '^https?://[^/?#]+(/[^?#]*)', 1) AS path",
+    "path",
     "CAST(NULL AS STRING) AS referer",
     "user_id AS guid",
     "'none' AS flashVersion",
@@ -59,7 +59,8 @@ _PAGEVIEW_EXPRS = [
 
 
 def _pageview_from(events: DataFrame, pages: DataFrame, cookie_sql: str) -> DataFrame:
-    ev = events.join(pages, F.expr(f"page_id = event_id % {PAGES_USED}"), "inner")
+    n_pages = pages.select(F.count("*")).scalar()  # a one-row subquery of the same plan
+    ev = events.withColumn("page_id", F.pmod("event_id", n_pages)).join(pages, "page_id", "inner")
     return ev.selectExpr(*[e.replace("{cookie}", cookie_sql) for e in _PAGEVIEW_EXPRS])
 
 
@@ -77,14 +78,14 @@ def pageview(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pageview_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page-view log whose cookie time is the user's first event time.
 
-    The per-user minimum is an aggregate joined back on ``user_id`` (one row
-    per user on the build side), not a window over all of a user's events,
-    so a user owning a third of the log is never sorted or buffered in one
-    task; AQE splits the hot join partition instead.
+    The per-user minimum is an aggregate joined back on ``user_id``, not a
+    window over all of a user's events. The join is salted, as adaptive
+    execution does not split one on top of an aggregation: a user owning a
+    third of the log meets its minimum in several tasks.
     """
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     first = events.groupBy("user_id").agg(F.min("ts").alias("first_ts"))
-    ev = events.join(first, "user_id", "inner")
+    ev = salted_join(events, first, "user_id", ["event_id"])
     return _pageview_from(ev, _pages(spark, sf_dir), "first_ts")
 
 
@@ -145,6 +146,13 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def titles_ungrouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One title per order, from the first of its month, so that many share an employee and start date."""
+    return _orders_by_customer_day(spark, sf_dir).selectExpr(
+        "emp_no", "o_orderpriority AS title", "CAST(trunc(from_date, 'MM') AS DATE) AS from_date", f"DATE'{OPEN_END}' AS to_date"
+    )
+
+
 def salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One salary per (customer, order day), valid until the next one.
 

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from pagetrail.functions.keys import join_key
 from pagetrail.functions.time import dtype_of, epoch_millis, epoch_millis_sql, open_millis_range_hint, q
-from pagetrail.operators.joins import bounded_broadcast
+from pagetrail.operators.joins import salted_join
 from pagetrail.operators.keyed import keyed_upsert, prefix_scan
 from pagetrail.operators.topk import top_k
 from pagetrail.schemas import PAGEVIEW_COLUMNS, PAGEVIEW_SCHEMA, PAGEVIEW_TIME_COLUMNS, ROW_KEY
@@ -162,10 +162,10 @@ def guids_os_browser_time(
 ) -> DataFrame:
     """Visits with the OS and browser and ``t1 < timeCreate < t2`` (millis).
 
-    One row per log row whose survivor matches (not de-duplicated). The
-    matching survivors are materialised to the checkpoint folder and, when a
-    count shows they are few, broadcast to a map-side join with the log; a
-    hot key then never meets a shuffle. Otherwise a shuffled join runs.
+    One row per log row whose survivor matches (not de-duplicated). The join
+    of the log with the matching survivors is salted, so that the rows of a
+    hot key are dealt to several tasks; when adaptive execution measures the
+    survivors as small, it broadcasts them instead.
     """
     cells = ["guid", "timeCreate", "osCode", "browserCode"]
     table = keyed if keyed is not None else load_pageviews(log, cells=cells)
@@ -175,8 +175,9 @@ def guids_os_browser_time(
         & (F.col("timeCreate") > F.lit(t1_millis))
         & (F.col("timeCreate") < F.lit(t2_millis))
     ).select(ROW_KEY, *cells)
-    match = bounded_broadcast(match, materialize_first=True)
-    return _keys_of_log(log).join(match, ROW_KEY, "inner").select(*cells)
+    spread_by = [c for c in (TIE_BREAK, "timeCreate", "guid") if c in log.columns]
+    rows = log.selectExpr(f"{cookie_key_sql(log)} AS {ROW_KEY}", *(f"{q(c)} AS __by_{c}" for c in spread_by))
+    return salted_join(rows, match, ROW_KEY, [f"__by_{c}" for c in spread_by]).select(*cells)
 
 
 # ----------------------------------------------- the same questions on the log

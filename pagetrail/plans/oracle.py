@@ -17,7 +17,7 @@ _PV_SELECT = """
          'v' || CAST(e.event_id % 9 AS VARCHAR) AS browserVer,
          CAST(e.event_id % 7 AS INTEGER) AS osCode,
          'o' || CAST(e.event_id % 4 AS VARCHAR) AS osVer,
-         CAST((e.event_id * 17 + e.user_id) % 101 AS BIGINT) AS ip,
+         CAST((e.event_id * 17 + e.user_id) % 4001 AS BIGINT) AS ip,
          CAST(e.event_id % 13 AS INTEGER) AS locId,
          regexp_extract(p.url, '^https?://([^/?#]+)', 1) AS domain,
          CAST(e.event_id % 6 AS INTEGER) AS siteId,
@@ -32,7 +32,7 @@ _PV_SELECT = """
          CAST(e.event_id % 3 AS INTEGER) AS geographic,
          CAST(e.event_id % 10 AS INTEGER) AS category,
          e.event_id AS event_id
-  FROM {events} e JOIN pages p ON p.page_id = e.event_id % 50
+  FROM {events} e JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
 """
 
 PAGEVIEW = "pageview AS (" + _PV_SELECT.format(
@@ -253,3 +253,28 @@ GROUP BY word""",
 
 # The look-up against a stored keyed table asks the same question.
 ORACLE_SQL["kv_ips_of_guid_stored"] = ORACLE_SQL["kv_ips_of_guid"]
+ORACLE_SQL["pv_top_domains_few"] = ORACLE_SQL["pv_top_domains"].replace("LIMIT 100", f"LIMIT {R.FEW_DOMAINS}")
+
+# Later puts win over stored ones whatever their time; all puts carry all cells.
+ORACLE_SQL["kv_upsert_pageview_merge"] = _w(PAGEVIEW, PUTS) + f"""
+SELECT row_key, {CELLS} FROM puts
+QUALIFY row_number() OVER (PARTITION BY row_key
+  ORDER BY epoch_ms(timeCreate) >= TIMESTAMP '{R.MERGE_DAY}' DESC, timeCreate DESC, event_id DESC) = 1"""
+ORACLE_SQL["emp_flat_dept_emp_reput"] = _w(WORKFORCE) + f"""
+SELECT dept_emp AS row_key, CASE WHEN emp_no % 2 = 0 THEN DATE '{R.REPUT_DATE}' ELSE de_from_date END AS de_from_date,
+       de_to_date, emp_no, birth_date, first_name, last_name, gender, hire_date, dept_no, dept_name, dm_from_date, dm_to_date
+FROM flat"""
+ORACLE_SQL["emp_flat_titles_collide"] = """
+SELECT CAST(emp_no AS VARCHAR) || '_' || CAST(d AS VARCHAR) AS row_key, d AS from_date, DATE '9999-01-01' AS to_date, max(p) AS title, emp_no
+FROM (SELECT o_custkey AS emp_no, CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS d, o_orderpriority AS p FROM orders)
+GROUP BY emp_no, d"""
+_NEAREST = "SELECT l_quantity AS x, l_discount AS y, CASE " + " ".join(
+    f"WHEN d{i} <= least(d0, d1, d2) THEN {i}" for i in range(3)
+) + " END AS prediction FROM (SELECT *, " + ", ".join(
+    f"(l_quantity - {a:f}::DOUBLE) * (l_quantity - {a:f}::DOUBLE) + (l_discount - {b:f}::DOUBLE) * (l_discount - {b:f}::DOUBLE) AS d{i}"
+    for i, (a, b) in enumerate(R.GIVEN_CENTERS)
+) + " FROM lineitem)"
+ORACLE_SQL["kmeans_assign_given"] = _NEAREST
+ORACLE_SQL["kmeans_step"] = (
+    f"SELECT prediction AS cluster, count(*) AS n, round(avg(x), 6) AS x, round(avg(y), 6) AS y FROM ({_NEAREST}) GROUP BY prediction"
+)

@@ -8,12 +8,15 @@ Parameter values are ones with non-empty answers on the test tables.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pagetrail.operators.joins import materialize
 from pagetrail.plans import clustering, fixtures, keyed_pageviews, pageviews, text, workforce
+from pagetrail.session import checkpoint_dir
+from pagetrail.sinks import write_keyed_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +31,10 @@ DEPT_NO = "d001"
 PAYROLL_DATE = "1999-01-01"
 EMP_NO = 82
 KMEANS_K = 3
+GIVEN_CENTERS = [(10.0, 0.02), (25.0, 0.05), (41.0, 0.08)]
+FEW_DOMAINS = 7
+MERGE_DAY = "2024-01-08"
+REPUT_DATE = "2001-01-01"
 GAP_SECONDS = 600
 GAP_SECONDS_LITERAL = 600_000
 
@@ -57,11 +64,35 @@ def _keyed_dept_emp(spark: SparkSession, sf: str) -> DataFrame:
     return workforce.load_dept_emp(_flat(spark, sf))
 
 
+def _stored(keyed: DataFrame) -> DataFrame:
+    """The keyed table written to the shared folder, sorted by key, and read back."""
+    spark = keyed.sparkSession
+    path = f"{checkpoint_dir(spark)}/keyed-{uuid.uuid4().hex}"
+    write_keyed_table(keyed, path)
+    return spark.read.schema(keyed.schema).parquet(path)
+
+
+def _pageview_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The views before a day are stored first, those of that day and later are merged into them."""
+    log = _pv(spark, sf)
+    early = F.to_date("timeCreate") < F.lit(MERGE_DAY).cast("date")
+    return keyed_pageviews.load_pageviews(log.where(~early), target=keyed_pageviews.load_pageviews(log.where(early)))
+
+
+def _reput(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row put again without manager cells, even employees with a new start date."""
+    first = _flat(spark, sf)
+    again = first.drop("dm_from_date", "dm_to_date").where(F.col("emp_no") % 2 == 0)
+    again = again.withColumn("de_from_date", F.lit(REPUT_DATE).cast("date"))
+    return workforce.load_dept_emp(again, target=workforce.load_dept_emp(first))
+
+
 QUERIES: dict[str, Query] = {
     # page-view analytics
     "pv_top_url_per_guid_day": lambda s, sf: pageviews.top_url_per_guid_day(_pv(s, sf)),
     "pv_top_ips_by_guid": lambda s, sf: pageviews.top_ips_by_guid(_pv(s, sf)),
     "pv_top_domains": lambda s, sf: pageviews.top_domains(_pv(s, sf)),
+    "pv_top_domains_few": lambda s, sf: pageviews.top_domains(_pv(s, sf), FEW_DOMAINS),
     "pv_top_locs_by_ip": lambda s, sf: pageviews.top_locations_by_ip(_pv(s, sf)),
     "pv_top_browser_per_os": lambda s, sf: pageviews.top_browser_per_os(_pv(s, sf)),
     "pv_gap_export": lambda s, sf: pageviews.gap_export(_pv(s, sf), GAP_SECONDS),
@@ -70,6 +101,7 @@ QUERIES: dict[str, Query] = {
     ),
     # keyed page-view table
     "kv_upsert_pageview": lambda s, sf: keyed_pageviews.load_pageviews(_pv(s, sf)),
+    "kv_upsert_pageview_merge": _pageview_merge,
     "kv_urls_of_guid_day": lambda s, sf: keyed_pageviews.urls_of_guid_day_from_log(_pv(s, sf), GUID, DAY),
     "kv_ips_of_guid": lambda s, sf: keyed_pageviews.ips_of_guid(_pv(s, sf), GUID),
     "kv_last_visit": lambda s, sf: keyed_pageviews.last_visit(_pv(s, sf), GUID),
@@ -77,7 +109,7 @@ QUERIES: dict[str, Query] = {
         _pv(s, sf), OS_CODE, BROWSER_CODE, _millis(T1), _millis(T2)
     ),
     "kv_ips_of_guid_stored": lambda s, sf: keyed_pageviews.ips_of_guid(
-        _pv(s, sf), GUID, keyed=materialize(keyed_pageviews.load_pageviews(_pv(s, sf)))
+        _pv(s, sf), GUID, keyed=_stored(keyed_pageviews.load_pageviews(_pv(s, sf)))
     ),
     "kv_ips_of_guid_log": lambda s, sf: keyed_pageviews.ips_of_guid_on_log(_pv(s, sf), GUID),
     "kv_last_visit_log": lambda s, sf: keyed_pageviews.last_visit_on_log(_pv(s, sf), GUID),
@@ -86,9 +118,11 @@ QUERIES: dict[str, Query] = {
     ),
     # workforce
     "emp_flat_dept_emp": _keyed_dept_emp,
+    "emp_flat_dept_emp_reput": _reput,
     "emp_flat_count": lambda s, sf: workforce.flat_count(_flat(s, sf)),
     "emp_flat_salaries": lambda s, sf: workforce.load_salaries(fixtures.salaries(s, sf)),
     "emp_flat_titles": lambda s, sf: workforce.load_titles(fixtures.titles(s, sf)),
+    "emp_flat_titles_collide": lambda s, sf: workforce.load_titles(fixtures.titles_ungrouped(s, sf)),
     "emp_dept_employees": lambda s, sf: workforce.department_from_tables(*_hr(s, sf), DEPT_NO),
     "emp_dept_managers": lambda s, sf: workforce.department_from_tables(*_hr(s, sf), DEPT_NO, managers=True),
     "emp_payroll_on_date": lambda s, sf: workforce.payroll_on(fixtures.salaries(s, sf), PAYROLL_DATE),
@@ -97,5 +131,7 @@ QUERIES: dict[str, Query] = {
     # clustering and text
     "kmeans_centers": lambda s, sf: clustering.kmeans_centers(fixtures.points(s, sf), KMEANS_K),
     "kmeans_assign": lambda s, sf: clustering.kmeans_assign(fixtures.points(s, sf), KMEANS_K),
+    "kmeans_assign_given": lambda s, sf: clustering.assign_given(fixtures.points(s, sf), GIVEN_CENTERS),
+    "kmeans_step": lambda s, sf: clustering.step(fixtures.points(s, sf), GIVEN_CENTERS),
     "text_word_count": lambda s, sf: text.word_count(fixtures.texts(s, sf)),
 }

@@ -9,8 +9,8 @@ Keyed tables:
 * salaries — key ``emp_no_from_date``; cells from_date, to_date, salary, emp_no.
 * titles — key ``emp_no_from_date``; cells from_date, to_date, title, emp_no.
 
-Joins run in Spark on the executors; small sides (departments, managers,
-key lists) are broadcast only after a count bounds them.
+Joins run in Spark on the executors; the planner broadcasts small sides
+(departments, managers, key lists) by their size in bytes.
 """
 
 from __future__ import annotations
@@ -21,17 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.functions.keys import join_key
-from pagetrail.operators.joins import bounded_broadcast
 from pagetrail.operators.keyed import keyed_upsert, multi_get, prefix_scan
 from pagetrail.schemas import DEPT_EMP_FAMILIES, ROW_KEY, family_cells
 
 DEPT_EMP_CELLS = family_cells(DEPT_EMP_FAMILIES)
 PERSON_COLUMNS = ["emp_no", "birth_date", "first_name", "last_name", "gender", "hire_date"]
 
-# Departments and managers are small by nature (one row per department);
-# broadcast them only when a count confirms it.
-SMALL_SIDE_ROWS = 1_000_000
-
 
 def flatten_dept_emp(
     dept_emp: DataFrame, employees: DataFrame, departments: DataFrame, dept_manager: DataFrame
@@ -47,12 +42,9 @@ def flatten_dept_emp(
         "emp_no AS de_emp_no", "dept_no AS de_dept_no", "from_date AS de_from_date", "to_date AS de_to_date"
     )
     e = employees.select(*PERSON_COLUMNS)
-    d = bounded_broadcast(departments.select("dept_no", "dept_name"), SMALL_SIDE_ROWS)
-    m = bounded_broadcast(
-        dept_manager.selectExpr(
-            "dept_no AS dm_dept_no", "emp_no AS dm_emp_no", "from_date AS dm_from_date", "to_date AS dm_to_date"
-        ),
-        SMALL_SIDE_ROWS,
+    d = departments.select("dept_no", "dept_name")
+    m = dept_manager.selectExpr(
+        "dept_no AS dm_dept_no", "emp_no AS dm_emp_no", "from_date AS dm_from_date", "to_date AS dm_to_date"
     )
     j = de.join(e, F.expr("de_emp_no = emp_no"), "left")
     j = j.join(d, F.expr("de_dept_no = dept_no"), "left")
@@ -73,10 +65,12 @@ def load_dept_emp(flat: DataFrame, target: DataFrame | None = None) -> DataFrame
     """Keyed dept_emp table from the flattened rows.
 
     Absent manager dates are not written, so a re-put of a row without
-    manager dates keeps the dates already stored.
+    manager dates keeps the dates already stored; ``flat`` may also leave out
+    cells altogether. Of several puts of a key the one with the greatest
+    cells, in the order of the families, wins.
     """
     puts = flat.withColumnRenamed("dept_emp", ROW_KEY)
-    return keyed_upsert(puts, DEPT_EMP_CELLS, target=target)
+    return keyed_upsert(puts, DEPT_EMP_CELLS, [c for c in DEPT_EMP_CELLS if c in puts.columns], target=target)
 
 
 def flat_count(flat: DataFrame) -> DataFrame:
@@ -90,14 +84,28 @@ def _dated_puts(table: DataFrame, value: str) -> DataFrame:
     )
 
 
+def _load_dated(table: DataFrame, value: str, target: DataFrame | None) -> DataFrame:
+    """Keyed table of ``emp_no_from_date``; of equal keys the later to_date wins, then the greater value.
+
+    Without a target the puts are merged by the typed columns, by which they
+    often lie together already, and the text key is made last.
+    """
+    cells = ["from_date", "to_date", value, "emp_no"]
+    if target is not None:
+        return keyed_upsert(_dated_puts(table, value), cells, ["to_date", value], target=target)
+    puts = table.select("emp_no", "from_date", "to_date", value)
+    merged = keyed_upsert(puts, ["to_date", value], ["to_date", value], key=["emp_no", "from_date"])
+    return merged.select(join_key("emp_no", "from_date").alias(ROW_KEY), *cells)
+
+
 def load_salaries(salaries: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """Keyed salaries: ``emp_no_from_date`` -> from_date, to_date, salary, emp_no."""
-    return keyed_upsert(_dated_puts(salaries, "salary"), ["from_date", "to_date", "salary", "emp_no"], target=target)
+    return _load_dated(salaries, "salary", target)
 
 
 def load_titles(titles: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """Keyed titles: ``emp_no_from_date`` -> from_date, to_date, title, emp_no."""
-    return keyed_upsert(_dated_puts(titles, "title"), ["from_date", "to_date", "title", "emp_no"], target=target)
+    return _load_dated(titles, "title", target)
 
 
 def _department_keys(dept_emp: DataFrame, dept_no: str) -> DataFrame:
@@ -172,9 +180,10 @@ def payroll_on(
     d = _as_date(on)
     in_force = (F.col("from_date") < d) & (F.col("to_date") > d)
     if keyed_salaries is None:
-        puts = _dated_puts(salaries, "salary").withColumn("__in_force", in_force)
+        puts = salaries.select("emp_no", "from_date", "to_date", "salary", in_force.alias("__in_force"))
         per_key = keyed_upsert(
-            puts, ["salary"], count_as="n_in_force", count_where=F.col("__in_force")
+            puts, ["salary"], ["to_date", "salary"], key=["emp_no", "from_date"],
+            count_as="n_in_force", count_where=F.col("__in_force"),
         )
         amount = F.coalesce(F.col("salary"), F.lit(0)) * F.col("n_in_force")
         got = per_key.where(F.col("n_in_force") > 0).select(amount.alias("amount"))

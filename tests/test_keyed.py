@@ -38,8 +38,8 @@ def test_null_row_gets_defaults_and_key_zero(spark):
 def test_absent_cell_keeps_earlier_value(spark):
     first = spark.createDataFrame([("k1", "a", "2000-01-01")], "row_key string, v string, mgr string")
     second = spark.createDataFrame([("k1", "b", None)], "row_key string, v string, mgr string")
-    t1 = keyed_upsert(first, ["v", "mgr"])
-    t2 = keyed_upsert(second, ["v", "mgr"], target=t1)
+    t1 = keyed_upsert(first, ["v", "mgr"], ["v"])
+    t2 = keyed_upsert(second, ["v", "mgr"], ["v"], target=t1)
     assert [tuple(r) for r in t2.collect()] == [("k1", "b", "2000-01-01")]
 
 
@@ -119,31 +119,54 @@ def test_last_visit_empty_gives_no_row(spark):
     assert K.last_visit_on_log(log, 99).count() == 0
 
 
-def test_small_batch_merge_does_not_shuffle_untouched_rows(spark):
+def test_merge_keeps_untouched_rows_and_cells(spark):
     target = spark.createDataFrame([(f"k{i}", i, "old") for i in range(200)], "row_key string, x int, y string")
-    batch = spark.createDataFrame([("k5", None, "new"), ("k500", 1, None)], "row_key string, x int, y string")
-    merged = keyed_upsert(batch, ["x", "y"], target=target)
+    batch = spark.createDataFrame([("k5", "new"), ("k500", None)], "row_key string, y string")
+    merged = keyed_upsert(batch, ["x", "y"], ["y"], target=target)
     rows = {r.row_key: (r.x, r.y) for r in merged.collect()}
-    assert len(rows) == 201 and rows["k5"] == (5, "new") and rows["k500"] == (1, None) and rows["k7"] == (7, "old")
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
-
-
-def test_bounded_broadcast_falls_back_above_the_bound(spark):
-    from pagetrail.operators.joins import bounded_broadcast
-
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = spark.range(100).withColumnRenamed("id", "k")
-        side = spark.range(10).withColumnRenamed("id", "k")
-        hinted = big.join(bounded_broadcast(side, max_rows=10), "k")
-        plain = big.join(bounded_broadcast(side, max_rows=9), "k")
-        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
-        assert hinted.count() == plain.count() == 10
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(rows) == 201 and rows["k5"] == (5, "new") and rows["k500"] == (None, None) and rows["k7"] == (7, "old")
+
+
+def test_merge_drops_no_target_cell_and_needs_an_order(spark):
+    import pytest
+
+    target = spark.createDataFrame([("j", 1, 3)], "row_key string, a int, b int")
+    batch = spark.createDataFrame([("j", 7)], "row_key string, a int")
+    assert keyed_upsert(batch, ["a"], ["a"], target=target).collect() == [("j", 7, 3)]
+    with pytest.raises(ValueError):
+        keyed_upsert(batch, ["a"], [])
+
+
+def test_repeated_target_rows_become_one_whatever_the_batch(spark):
+    target = spark.createDataFrame([("j", 3), ("j", None)], "row_key string, a int")
+    for keys in (["x"], ["j"]):
+        batch = spark.createDataFrame([(k, 9) for k in keys], "row_key string, a int")
+        got = {r.row_key: r.a for r in keyed_upsert(batch, ["a"], ["a"], target=target).collect()}
+        assert got == {"j": 9 if keys == ["j"] else 3, **{k: 9 for k in keys}}
+
+
+def test_a_null_version_is_the_least_and_still_stored(spark):
+    for rows in ([("k", 7, None)], [("k", 8, None), ("k", 7, 1)], [("k", 7, 1), ("k", 8, None)]):
+        df = spark.createDataFrame(rows, "row_key string, a int, v int")
+        assert keyed_upsert(df, ["a"], ["v"]).collect() == [("k", 7)]
+
+
+def test_colliding_titles_do_not_depend_on_input_order(spark):
+    from pagetrail.plans import workforce as W
+
+    d = dt.date
+    rows = [(1, "Engineer", d(2000, 1, 1), d(2001, 1, 1)), (1, "Staff", d(2000, 1, 1), d(2001, 1, 1))]
+    for r in (rows, rows[::-1]):
+        df = spark.createDataFrame(r, "emp_no long, title string, from_date date, to_date date").coalesce(1)
+        assert [x.title for x in W.load_titles(df).collect()] == ["Staff"]
+
+
+def test_salted_join_equals_the_plain_join(spark):
+    from pagetrail.operators.joins import salted_join
+
+    rows = spark.createDataFrame([(i % 3 and 7, i) for i in range(60)], "k int, id int")
+    lookup = rows.groupBy("k").agg(F.min("id").alias("low"))
+    assert sorted(salted_join(rows, lookup, "k", ["id"]).collect()) == sorted(rows.join(lookup, "k").collect())
 
 
 def test_multi_get_with_family_qualified_cells(spark):

@@ -51,8 +51,6 @@ def test_upsert_matches_model_and_is_idempotent(spark, first, second):
     assert sorted(tuple(r) for r in t2.collect()) == _model([first, second])
     again = keyed_upsert(_df(spark, second), ["x", "y"], version=["ver"], target=t2)
     assert sorted(tuple(r) for r in again.collect()) == _model([first, second])
-    full = keyed_upsert(_df(spark, second), ["x", "y"], version=["ver"], target=t1, incremental_keys=None)
-    assert sorted(tuple(r) for r in full.collect()) == _model([first, second])
 
 
 @SETTINGS

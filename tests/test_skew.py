@@ -49,6 +49,16 @@ def test_answers_under_a_hot_visitor(spark, skewed_dir, name):
     assert digest(df.columns, rows) == digest(ocols, orows)
 
 
+def test_first_seen_join_is_salted(spark, skewed_dir):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = E.queries()["pv_gap_600000s"](spark, skewed_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "__salt" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_the_visitor_really_is_hot(skewed_dir):
     n = duck(skewed_dir).execute("SELECT avg(CASE WHEN user_id = 3 THEN 1 ELSE 0 END) FROM events").fetchone()[0]
     assert n > 0.33

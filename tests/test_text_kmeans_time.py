@@ -18,13 +18,22 @@ def test_kmeans_prediction_is_nearest_centre(spark):
     ] + [(0.0, 100.0 + y) for y in range(3)]
     points = spark.createDataFrame(pts, "x double, y double").coalesce(1)
     model = clustering.fit(points, 3)
-    centres = [tuple(c) for c in model.clusterCenters()]
+    centres = sorted(tuple(c) for c in model.clusterCenters())
     assert len(clustering.centers(model, spark).collect()) == 3
     for r in clustering.assign(model, points).collect():
         d = [math.dist((r.x, r.y), c) for c in centres]
         assert d[r.prediction] == min(d)
 
 
+def test_kmeans_centres_do_not_depend_on_the_partitions(spark):
+    pts = [(float(x + 40 * (x % 3)), float(y)) for x in range(30) for y in range(5)]
+    points = spark.createDataFrame(pts, "x double, y double")
+    got = [[(r.cluster, round(r.x, 6), round(r.y, 6)) for r in clustering.kmeans_centers(points.repartition(n), 3).collect()] for n in (2, 4)]
+    for rows in got:
+        assert [r[1:] for r in rows] == sorted(r[1:] for r in rows)
+    assert len(got[0]) == len(got[1]) == 3
+
+
 def test_ntz_epoch_functions_ignore_session_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import weakref
 from collections.abc import Iterable
 
 import numpy as np
@@ -110,6 +111,9 @@ class Index:
         return [x[2:] for x in found]
 
 
+_SENT: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def split_url(url_col: str):
     """(host, path) columns: by the first ``://``; both empty without one."""
     url = F.coalesce(F.col(url_col), F.lit(""))
@@ -127,8 +131,11 @@ def filter_urls(pages: DataFrame, id_col: str, url_col: str, rules: Iterable[tup
     """
     spark = pages.sparkSession
     path = write_index(rules, tempfile.mkdtemp(prefix="pagetrail-rules-"))
-    spark.sparkContext.addFile(path)  # each machine fetches the bounded file once
-    name = os.path.basename(path)
+    name = os.path.basename(path)  # follows from the rules, so equal rules are sent once
+    sent = _SENT.setdefault(spark.sparkContext, set())
+    if name not in sent:
+        spark.sparkContext.addFile(path)  # each machine fetches the bounded file once
+        sent.add(name)
     host_col, path_col = split_url(url_col)
     parts = pages.select(F.col(id_col).alias(id_col), host_col.alias("host"), path_col.alias("path"))
     schema = f"{id_col} {pages.schema[id_col].dataType.simpleString()}, host string, path string, rule string, verdict string"

@@ -35,9 +35,11 @@ def letters_of(text: str) -> np.ndarray:
         kinds, of = np.unique(points[other], return_inverse=True)
         ascii_[other] = np.array([chr(c).isalpha() for c in kinds.tolist()])[of]
     kept = np.where(ascii_, points, 0)
+    kept = np.concatenate([[0], kept, [0]])
     keep = np.ones(len(kept), bool)
     keep[1:] = (kept[1:] != 0) | (kept[:-1] != 0)
-    return np.concatenate([[0], kept[keep], [0]]).astype(np.uint64)
+    kept = kept[keep]
+    return np.append(kept, 0).astype(np.uint64) if kept[-1] else kept.astype(np.uint64)
 
 
 def counts_of(points: np.ndarray) -> np.ndarray:
@@ -64,7 +66,7 @@ class Model:
     def __init__(self, samples: list[tuple[str, str]], seed: int = 5) -> None:
         self.langs = sorted({lang for _, lang in samples})
         points = [letters_of(t) for t, _ in samples]
-        useful = [i for i, p in enumerate(points) if len(p) > 2]
+        useful = [i for i, p in enumerate(points) if p.any()]
         points, langs = [points[i] for i in useful], [samples[i][1] for i in useful]
         counts = np.stack([counts_of(p) for p in points]) if points else np.zeros((0, BUCKETS), np.float32)
         self.idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
@@ -115,7 +117,7 @@ class Model:
             near = self.weigh(np.stack([counts_of(p) for p in points])) @ self.centroids.T
             for p, row in zip(points, near, strict=True):
                 k = int(row.argmax())
-                if len(p) < 3:
+                if not p.any():
                     out.append((UNKNOWN, 0.0, True))
                 else:
                     score = float(min(max(row[k], 0.0), 1.0))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.functions.time import hour_floor_sql
+from pagetrail.functions.time import epoch_millis_sql, hour_floor_sql
 from pagetrail.operators.joins import salted_join
 from pagetrail.sources.files import read_table
 
@@ -75,6 +75,13 @@ def pageview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pageview_from(events, _pages(spark, sf_dir), hour_floor_sql("ts", ts_type))
 
 
+def pageview_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pageview`` with instants (``timestamp``) for its wall-clock times, read as UTC whatever the session zone."""
+    log = pageview(spark, sf_dir)
+    times = {c: F.expr(f"timestamp_millis({epoch_millis_sql(c, log.schema[c].dataType)})") for c in ("timeCreate", "cookieCreate")}
+    return log.withColumns(times)
+
+
 def pageview_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page-view log whose cookie time is the user's first event time.
 

@@ -260,6 +260,13 @@ ORACLE_SQL["kv_upsert_pageview_merge"] = _w(PAGEVIEW, PUTS) + f"""
 SELECT row_key, {CELLS} FROM puts
 QUALIFY row_number() OVER (PARTITION BY row_key
   ORDER BY epoch_ms(timeCreate) >= TIMESTAMP '{R.MERGE_DAY}' DESC, timeCreate DESC, event_id DESC) = 1"""
+ORACLE_SQL["kv_upsert_pageview_stored"] = _w(PAGEVIEW, PUTS) + f"""
+SELECT row_key, {CELLS} FROM puts
+QUALIFY row_number() OVER (PARTITION BY row_key
+  ORDER BY minute(epoch_ms(timeCreate)) < {R.HALF_HOUR} DESC, timeCreate DESC, event_id DESC) = 1"""
+# The same instants as zoned timestamps ask the same question.
+ORACLE_SQL["kv_upsert_pageview_zoned"] = ORACLE_SQL["kv_upsert_pageview"]
+ORACLE_SQL["kv_guids_os_browser_time_log_zoned"] = ORACLE_SQL["kv_guids_os_browser_time_log"]
 ORACLE_SQL["emp_flat_dept_emp_reput"] = _w(WORKFORCE) + f"""
 SELECT dept_emp AS row_key, CASE WHEN emp_no % 2 = 0 THEN DATE '{R.REPUT_DATE}' ELSE de_from_date END AS de_from_date,
        de_to_date, emp_no, birth_date, first_name, last_name, gender, hire_date, dept_no, dept_name, dm_from_date, dm_to_date

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from pagetrail.plans import clustering, fixtures, keyed_pageviews, pageviews, text, workforce
 from pagetrail.session import checkpoint_dir
-from pagetrail.sinks import write_keyed_table
+from pagetrail.sinks import merge_keyed_table, read_keyed_table, write_keyed_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,8 @@ GIVEN_CENTERS = [(10.0, 0.02), (25.0, 0.05), (41.0, 0.08)]
 FEW_DOMAINS = 7
 MERGE_DAY = "2024-01-08"
 REPUT_DATE = "2001-01-01"
+HALF_HOUR = 30
+STORE_BUCKETS = 16
 GAP_SECONDS = 600
 GAP_SECONDS_LITERAL = 600_000
 
@@ -79,6 +81,19 @@ def _pageview_merge(spark: SparkSession, sf: str) -> DataFrame:
     return keyed_pageviews.load_pageviews(log.where(~early), target=keyed_pageviews.load_pageviews(log.where(early)))
 
 
+def _pageview_store_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """A bucketed store of the views of each hour's second half, into which those of the first half are merged.
+
+    Most keys (cookie hours) are in both, and the batch, though earlier in time, is put later.
+    """
+    log = _pv(spark, sf)
+    batch = F.minute("timeCreate") < HALF_HOUR
+    path = f"{checkpoint_dir(spark)}/keyed-{uuid.uuid4().hex}"
+    write_keyed_table(keyed_pageviews.load_pageviews(log.where(~batch)), path, buckets=STORE_BUCKETS)
+    merge_keyed_table(keyed_pageviews.load_pageviews(log.where(batch)), path)
+    return read_keyed_table(spark, path)
+
+
 def _reput(spark: SparkSession, sf: str) -> DataFrame:
     """Every row put again without manager cells, even employees with a new start date."""
     first = _flat(spark, sf)
@@ -102,6 +117,8 @@ QUERIES: dict[str, Query] = {
     # keyed page-view table
     "kv_upsert_pageview": lambda s, sf: keyed_pageviews.load_pageviews(_pv(s, sf)),
     "kv_upsert_pageview_merge": _pageview_merge,
+    "kv_upsert_pageview_stored": _pageview_store_merge,
+    "kv_upsert_pageview_zoned": lambda s, sf: keyed_pageviews.load_pageviews(fixtures.pageview_zoned(s, sf)),
     "kv_urls_of_guid_day": lambda s, sf: keyed_pageviews.urls_of_guid_day_from_log(_pv(s, sf), GUID, DAY),
     "kv_ips_of_guid": lambda s, sf: keyed_pageviews.ips_of_guid(_pv(s, sf), GUID),
     "kv_last_visit": lambda s, sf: keyed_pageviews.last_visit(_pv(s, sf), GUID),
@@ -116,6 +133,9 @@ QUERIES: dict[str, Query] = {
     "kv_guids_os_browser_time_log": lambda s, sf: keyed_pageviews.guids_os_browser_time_on_log(
         _pv(s, sf), OS_CODE, BROWSER_CODE, _millis(T1), _millis(T2)
     ),
+    "kv_guids_os_browser_time_log_zoned": lambda s, sf: keyed_pageviews.guids_os_browser_time_on_log(
+        fixtures.pageview_zoned(s, sf), OS_CODE, BROWSER_CODE, _millis(T1), _millis(T2)
+    ),
     # workforce
     "emp_flat_dept_emp": _keyed_dept_emp,
     "emp_flat_dept_emp_reput": _reput,

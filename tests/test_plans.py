@@ -4,6 +4,8 @@ import __spark_entry__ as E
 from pagetrail.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
+# Answers that fit a model or store a table while they are built.
+EAGER = ("kmeans_centers", "kmeans_assign", "kv_ips_of_guid_stored", "kv_upsert_pageview_stored")
 
 
 def _plan(df):
@@ -12,7 +14,7 @@ def _plan(df):
 
 def test_no_python_udfs_in_any_plan(spark):
     for name, q in QUERIES.items():
-        if name in ("kmeans_centers", "kmeans_assign", "kv_ips_of_guid_stored"):
+        if name in EAGER:
             continue
         p = _plan(q(spark, SF))
         assert "PythonUDF" not in p and "EvalPython" not in p, name
@@ -30,7 +32,7 @@ def test_every_page_reaches_the_log_and_columns_are_pruned(spark):
 def test_building_a_query_starts_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     for name, q in QUERIES.items():
-        if name in ("kmeans_centers", "kmeans_assign", "kv_ips_of_guid_stored"):
+        if name in EAGER:
             continue
         spark.sparkContext.setJobGroup(f"build-{name}", name)
         q(spark, SF)

@@ -15,12 +15,13 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import sys
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pagetrail import sinks
 from pagetrail.plans import clustering, keyed_pageviews, pageviews, text, workforce
-from pagetrail.sources import read_pageview_parquet, read_pageview_tsv, read_points_text
+from pagetrail.sources import read_jdbc, read_jdbc_auto, read_pageview_parquet, read_pageview_tsv, read_points_text
 
 
 def _millis(s: str) -> int:
@@ -44,7 +45,23 @@ def _log(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def _table(spark: SparkSession, path: str | None) -> DataFrame | None:
-    return spark.read.parquet(path) if path else None
+    return sinks.read_keyed_table(spark, path) if path else None
+
+
+def _relations(spark: SparkSession, args: argparse.Namespace) -> Callable[[str], DataFrame]:
+    """Reader of the workforce tables by name: Parquet folders, or a database (the large ones by ranges of emp_no)."""
+    if bool(args.tables) == bool(args.jdbc_url):
+        raise SystemExit("give either --tables or --jdbc-url")
+    if args.tables:
+        return lambda name: spark.read.parquet(f"{args.tables.rstrip('/')}/{name}")
+    props = dict(p.split("=", 1) for p in args.jdbc_property)
+
+    def read(name: str) -> DataFrame:
+        if name in ("departments", "dept_manager"):
+            return read_jdbc(spark, args.jdbc_url, name, properties=props)
+        return read_jdbc_auto(spark, args.jdbc_url, name, "emp_no", properties=props)
+
+    return read
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -81,7 +98,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
                     sinks.write_parquet(df, f"{out}/{name}")
     elif c == "load-pageviews":
         log = _log(spark, args)
-        sinks.write_keyed_table(keyed_pageviews.load_pageviews(log, target=_table(spark, args.into)), args.table)
+        if args.merge:
+            sinks.merge_keyed_table(keyed_pageviews.load_pageviews(log), args.table)
+        else:
+            loaded = keyed_pageviews.load_pageviews(log, target=_table(spark, args.into))
+            sinks.write_keyed_table(loaded, args.table, buckets=args.buckets)
         if args.visits:
             sinks.write_keyed_table(keyed_pageviews.load_pageviews_by_visit(log), args.visits)
     elif c == "urls-of-guid-day":
@@ -98,13 +119,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args,
         )
     elif c == "load-workforce":
-        p = args.tables.rstrip("/")
-        read = lambda name: spark.read.parquet(f"{p}/{name}")
+        read = _relations(spark, args)
         flat = workforce.flatten_dept_emp(read("dept_emp"), read("employees"), read("departments"), read("dept_manager"))
         out = args.keyed.rstrip("/")
         sinks.write_keyed_table(workforce.load_dept_emp(flat, _table(spark, args.into_dept_emp)), f"{out}/dept_emp")
-        sinks.write_keyed_table(workforce.load_salaries(read("salaries")), f"{out}/salaries")
-        sinks.write_keyed_table(workforce.load_titles(read("titles")), f"{out}/titles")
+        sinks.write_keyed_table(workforce.load_salaries(read("salaries"), _table(spark, args.into_salaries)), f"{out}/salaries")
+        sinks.write_keyed_table(workforce.load_titles(read("titles"), _table(spark, args.into_titles)), f"{out}/titles")
     elif c == "dept-members":
         fn = workforce.department_managers if args.managers else workforce.department_members
         _emit(fn(spark.read.parquet(args.keyed), spark.read.parquet(args.dept_emp), args.dept), args)
@@ -164,6 +184,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--log", required=True)
     p.add_argument("--table", required=True, help="output folder of the cookie-keyed table")
     p.add_argument("--into", help="existing keyed table to merge into (a folder other than --table)")
+    p.add_argument("--buckets", type=int, help="write --table in so many hash buckets of the key, for later merges")
+    p.add_argument("--merge", action="store_true", help="merge into the bucketed --table in place; only touched buckets are rewritten")
     p.add_argument("--visits", help="also write the visit-keyed table here")
     p = cmd("urls-of-guid-day", "paths of a visitor on a day (visit-keyed table)")
     p.add_argument("--visits", required=True)
@@ -182,9 +204,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--t1", required=True, help="ISO time, UTC if no zone")
     p.add_argument("--t2", required=True)
     p = cmd("load-workforce", "flatten dept_emp and load the three keyed tables")
-    p.add_argument("--tables", required=True, help="folder with dept_emp, employees, departments, dept_manager, salaries, titles")
+    p.add_argument("--tables", help="folder with dept_emp, employees, departments, dept_manager, salaries, titles")
+    p.add_argument("--jdbc-url", help="database with these tables, instead of --tables")
+    p.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE", help="JDBC option such as user or driver; may be repeated")
     p.add_argument("--keyed", required=True, help="output folder for the keyed tables")
-    p.add_argument("--into-dept-emp", help="existing keyed dept_emp table to merge into (not under --keyed)")
+    for name in ("dept-emp", "salaries", "titles"):
+        p.add_argument(f"--into-{name}", help="existing keyed table to merge into (not under --keyed)")
     p = cmd("dept-members", "members (or --managers) of a department")
     p.add_argument("--keyed", required=True, help="keyed dept_emp table")
     p.add_argument("--dept-emp", required=True, help="dept_emp relation (key list)")

@@ -13,12 +13,14 @@ stored here.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Rows per partition when the caller gives a row count instead of a
 # partition count.
 DEFAULT_ROWS_PER_PARTITION = 50_000
+_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
 def partitions_for(row_count: int, rows_per_partition: int = DEFAULT_ROWS_PER_PARTITION) -> int:
@@ -92,7 +94,12 @@ def read_jdbc_auto(
     A single small query returns ``min``, ``max`` and ``count`` of the
     numeric ``column`` (one row to the driver); the table is then read as
     ``ceil(count / rows_per_partition)`` disjoint ranges of that column.
+    ``column`` and ``table`` are plain names (the table's may be qualified),
+    as they become part of that query's text. The ranges are equally wide, so
+    a value that holds much of the table is one range; choose another column then.
     """
+    if not _NAME.fullmatch(column) or not all(map(_NAME.fullmatch, table.split("."))):
+        raise ValueError(f"not plain names: {column!r}, {table!r}")
     stats = read_jdbc(
         spark,
         url,

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from helpers import pv_rows, view
 
 from pagetrail import sinks
@@ -33,6 +34,24 @@ def test_pageview_commands_end_to_end(spark, tmp_dir):
     assert [r.value for r in spark.read.text(export).collect()] == ["3\tx.com\t/a\t2024-01-05 10:20:00"]
 
 
+def test_load_pageviews_merges_into_its_buckets(spark, tmp_dir):
+    logs = [os.path.join(tmp_dir, f"log{i}") for i in range(2)]
+    for i, log in enumerate(logs):
+        views = [view(3, "2024-01-05 10:20:00", cookie="2024-01-05 10:00:00", ip=7 + i), view(4, f"2024-01-0{6 + i} 10:20:00", cookie=f"2024-01-0{6 + i} 10:00:00")]
+        pv_rows(spark, views).drop("event_id").write.parquet(log)
+    table = os.path.join(tmp_dir, "kv")
+    _run(spark, "load-pageviews", "--log", logs[0], "--table", table, "--buckets", "4")
+    _run(spark, "load-pageviews", "--log", logs[1], "--table", table, "--merge")
+    got = sinks.read_keyed_table(spark, table)
+    assert sorted((r.guid, r.ip) for r in got.collect()) == [(3, 8), (4, 1), (4, 1)]
+
+
+def test_load_workforce_takes_one_kind_of_source(spark, tmp_dir):
+    for sources in ([], ["--tables", "x", "--jdbc-url", "y"]):
+        with pytest.raises(SystemExit):
+            _run(spark, "load-workforce", *sources, "--keyed", tmp_dir)
+
+
 def test_workforce_commands_end_to_end(spark, tmp_dir):
     sf = "/root/testdata/sf0.001"
     tables = os.path.join(tmp_dir, "tables")
@@ -40,6 +59,11 @@ def test_workforce_commands_end_to_end(spark, tmp_dir):
         sinks.write_parquet(getattr(fixtures, name)(spark, sf), os.path.join(tables, name))
     keyed = os.path.join(tmp_dir, "keyed")
     _run(spark, "load-workforce", "--tables", tables, "--keyed", keyed)
+    again = os.path.join(tmp_dir, "again")  # the same puts merged into the stored tables change nothing
+    _run(spark, "load-workforce", "--tables", tables, "--keyed", again, "--into-salaries", os.path.join(keyed, "salaries"),
+         "--into-titles", os.path.join(keyed, "titles"))
+    for name in ("salaries", "titles"):
+        assert sorted(spark.read.parquet(os.path.join(again, name)).collect()) == sorted(spark.read.parquet(os.path.join(keyed, name)).collect())
     members = os.path.join(tmp_dir, "members")
     _run(spark, "dept-members", "--keyed", os.path.join(keyed, "dept_emp"),
          "--dept-emp", os.path.join(tables, "dept_emp"), "--dept", "d001", "--out", members)

@@ -10,6 +10,7 @@ from pagetrail.plans import pageviews as P
 from pagetrail.schemas import PAGEVIEW_COLUMNS
 from pagetrail.sources import (
     partitions_for,
+    read_jdbc_auto,
     read_header_csv,
     read_pageview_parquet,
     read_pageview_tsv,
@@ -126,6 +127,12 @@ def test_for_each_batch_of_rows_sizes(spark, tmp_dir):
     assert sizes == [50, 100, 100]
 
 
+def test_jdbc_auto_takes_plain_names_only(spark):
+    for table, column in [("titles; x", "emp_no"), ("(select 1) t", "emp_no"), ("titles", "emp_no) FROM x"), ("", "emp_no")]:
+        with pytest.raises(ValueError):
+            read_jdbc_auto(spark, "jdbc:none:", table, column)
+
+
 def test_jdbc_partition_count():
     assert partitions_for(0) == 1 and partitions_for(50_000) == 1 and partitions_for(50_001) == 2
     assert partitions_for(120_000, 50_000) == 3

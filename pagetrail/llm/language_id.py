@@ -11,10 +11,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm.shared import mix64, table, text_slices
+from pagetrail.llm.shared import first_rows, mix64, table, text_slices
 
 BUCKETS = 1 << 13
 CENTROIDS = 3
@@ -130,12 +130,10 @@ def fit(labelled: DataFrame) -> Model:
 
     Rows without text or language are left out. The rows of a language are
     taken by the hash of their id, then their text, so the sample is the same
-    at each run. The first rows are picked by a grouped limit that each task
-    applies to its own rows first.
+    at each run.
     """
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang", F.xxhash64("id").alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    ranked = rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE_ROWS).orderBy("lang", "r")
+    ranked = first_rows(rows, "lang", ["h", "text"], SAMPLE_ROWS).orderBy("lang", "r")
     return Model([(r.text, r.lang) for r in ranked.collect()])
 
 

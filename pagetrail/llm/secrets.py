@@ -14,10 +14,10 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm.shared import table, text_slices
+from pagetrail.llm.shared import first_rows, table, text_slices
 
 #: The base patterns (fixed values) and what a match needs to count.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -296,8 +296,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fiel
     """
     hit = F.col("text").rlike(MAY_MATCH)
     rows = docs.where(F.length(text_col) > 0).select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("text")).withColumn("hit", hit)
-    order = Window.partitionBy("hit").orderBy("h", "text")
-    few = rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE_TEXTS).select("hit", "r", "text")
+    few = first_rows(rows, "hit", ["h", "text"], SAMPLE_TEXTS).select("hit", "r", "text")
 
     def cut(batches):
         for batch in batches:

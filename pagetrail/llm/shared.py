@@ -10,7 +10,8 @@ import weakref
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def ship(spark: SparkSession) -> None:
@@ -62,6 +63,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Groups of scan partitions whose first rows are picked before the last pick.
+PICK_GROUPS = 64
+
+
+def first_rows(rows: DataFrame, by: str, order: Sequence[str], limit: int) -> DataFrame:
+    """The first ``limit`` rows of each value of ``by``, with their rank ``r``.
+
+    Each task keeps that many of its own rows, then each group of tasks, then
+    all: the task that ranks a value at last reads at most ``PICK_GROUPS`` x
+    ``limit`` rows, however many tasks the scan has. The columns of ``order``
+    must order the rows totally, but for equal ones.
+    """
+    rank = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    grouped = rows.withColumn("_group", F.spark_partition_id() % PICK_GROUPS)
+    some = grouped.withColumn("_r", rank(by, "_group")).where(F.col("_r") <= limit).drop("_group", "_r")
+    return some.withColumn("r", rank(by)).where(F.col("r") <= limit)
+
+
 def text_slices(texts: Sequence[str], max_chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` with about ``max_chars`` characters each.
 

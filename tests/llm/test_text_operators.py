@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from pagetrail.llm import bpe, chat, decontaminate, language_id, quality, secrets
+from pagetrail.llm import bpe, chat, decontaminate, language_id, quality, secrets, shared
 from pagetrail.llm.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -223,3 +223,15 @@ def test_quality_of_odd_rows(spark):
     got = [r.score for r in quality.scored(odd, scorer, ["doc_id"]).collect()]
     assert len(got) == 5 and all(0 <= s <= 1 for s in got)
     assert quality.scored(odd.limit(0), quality.fit([], []), ["doc_id"]).count() == 0
+
+
+def test_sample_is_the_first_rows_of_each_value(spark, monkeypatch):
+    monkeypatch.setattr(shared, "PICK_GROUPS", 3)
+    rows = spark.range(0, 3000, numPartitions=17).selectExpr("IF(id % 3 = 0, NULL, id % 3) AS k", "id * 7919 % 101 AS h", "CAST(id % 5 AS STRING) AS text")
+    got = [tuple(r) for r in shared.first_rows(rows, "k", ["h", "text"], 40).select("k", "r", "h", "text").collect()]
+    want = []
+    for k in (None, 1, 2):
+        own = sorted((i * 7919 % 101, str(i % 5)) for i in range(3000) if (i % 3 or None) == k)[:40]
+        want += [(k, r + 1, *row) for r, row in enumerate(own)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert shared.first_rows(rows.limit(0), "k", ["h", "text"], 40).count() == 0

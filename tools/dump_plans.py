@@ -1,4 +1,4 @@
-"""Write PLANS.md: the physical plan of every registered query.
+"""Write PLANS.md: the physical plan of every registered query (corpus operators aside).
 
 Usage: python tools/dump_plans.py [sf_dir]   (default /root/testdata/sf0.1)
 Plans are the initial adaptive plans (before runtime re-planning); long
@@ -20,13 +20,13 @@ def main() -> None:
 
     spark = build_session(master="local[8]", shuffle_partitions=8, extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as E
+    from pagetrail.plans.registry import QUERIES
 
     out = ["# Physical plans of the registered queries", "",
            f"Generated by `tools/dump_plans.py` on `{sf_dir}` (initial adaptive plans; "
            "AQE may still coalesce partitions or switch a join at run time). "
            "Expression ids are removed and long lines cut.", ""]
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         if name.startswith("kmeans_"):
             continue
         plan = q(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

@@ -92,16 +92,17 @@ class MinMax:
 
 
 def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, set_key, bands) of every whole text.
+    """(doc_id, text_key, n_shingles, set_key, bands) of every whole text.
 
-    ``set_key`` is the digest of the full set, null for an empty one.
+    ``set_key`` is the digest of the full set, null for an empty one;
+    ``text_key`` tells the texts of a repeated id apart.
     """
-    schema = "doc_id long, n_shingles long, set_key binary, bands array<long>"
+    schema = "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>"
 
     def run(batches):
         minmax, hashes = MinMax(), Words()
         for batch in batches:
-            ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
+            ids, keys, texts = batch.column(0), batch.column(1), [t or "" for t in batch.column(2).to_pylist()]
             for start, stop in text_slices(texts):
                 sets = [shingles(words_of(t), words, hashes) for t in texts[start:stop]]
                 full = [i for i, s in enumerate(sets) if len(s)]
@@ -112,14 +113,19 @@ def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(start, stop - start),
+                        keys.slice(start, stop - start),
                         pa.array(map(len, sets), pa.int64()),
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "bands"],
+                    names=["doc_id", "text_key", "n_shingles", "set_key", "bands"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return _keyed(docs, id_col, text_col).mapInArrow(run, schema)
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, words: int, sets: bool = False) -> DataFrame:
@@ -129,8 +135,8 @@ def _compared(pairs: DataFrame, texts: DataFrame, words: int, sets: bool = False
     lacks of it. Pairs come sorted by b within a task, so that the set of a
     pivot is made once for its run of pairs.
     """
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
     names = ["a", "b", "n_a", "n_b", "both", *["added", "missing"][: 2 * sets]]
     kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2 * sets
@@ -177,24 +183,27 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, id_col: str = "do
 
     Documents are linked if 100 * intersection >= percent * union of their
     ``words``-word shingle sets. Empty sets are linked with nothing. Repeated
-    rows get equal results. A row with a null id is linked with nothing, has
+    rows get equal results; rows of one id with different texts are linked
+    only by their texts. A row with a null id is linked with nothing, has
     a null component and is not kept. Other columns are ignored.
     """
     signed = stored(signatures(docs, words, id_col, text_col), "signatures")
     usable = signed.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
-    classes = stored(
-        usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes"
+    classes = usable.groupBy("set_key").agg(
+        F.min("doc_id").alias("rep"), F.min_by("text_key", "doc_id").alias("text_key"), F.first("bands").alias("bands")
     )
-    members = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("pivot")).where("size > 1")
+    # an id may stand for several classes, so each has a number of its own, which storing makes final
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    members = classes.select("node", "rep", "text_key", F.explode("bands").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min_by("node", "rep").alias("pivot")).where("size > 1")
     shared = stored(shared.select("bucket", "pivot"), "buckets")
-    members = stored(members.join(shared, "bucket").select("bucket", "rep", "n", "pivot"), "members")
-    needed = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    # repeated ids may differ in text: the class's own text is the one with its set, and the rows of a class share it
-    texts = stored(texts.join(needed, "doc_id").dropDuplicates(["doc_id"]), "texts")
+    members = stored(members.join(shared, "bucket").select("node", "rep", "text_key", "pivot"), "members")
+    needed = members.select(F.col("rep").alias("doc_id"), "text_key", "node").distinct()
+    # repeated ids may differ in text: the class's own text is that of one of its rows
+    texts = _keyed(docs, id_col, text_col).join(needed, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+    texts = stored(texts.select("node", "text"), "texts")
 
-    pairs = members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
+    pairs = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     linked = F.col("both") * 100 >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))
     star = stored(_compared(pairs, texts, words).withColumn("linked", linked), "star")
     links = star.where("linked").select("a", "b")
@@ -202,9 +211,11 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, id_col: str = "do
     more = stored(_across(star, roots, texts, words, percent), "across")
     if more.limit(1).count():
         roots = components(links.unionByName(more))
-    of_class = classes.select("set_key", "rep").join(roots, F.col("rep") == F.col("node"), "left")
-    of_class = stored(of_class.select("set_key", F.coalesce("root", "rep").alias("root")), "roots")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
+    of_class = classes.select("set_key", "rep", "node").join(roots, "node", "left")
+    of_class = stored(of_class.select("set_key", "rep", F.coalesce("root", "node").alias("root")), "roots")
+    names = stored(of_class.groupBy("root").agg(F.min("rep").alias("name")), "names")
+    of_class = stored(of_class.join(names, "root").select("set_key", "name"), "named")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("name", "doc_id"))
     return signed.join(of_class, "set_key", "left").select(
         "doc_id",
         "n_shingles",

@@ -68,6 +68,21 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, block):
     assert minhash_dedup.near_duplicates(df.limit(0), 5, 80).count() == 0
 
 
+def test_an_id_with_two_texts_has_the_near_copies_of_both(spark):
+    rng = random.Random(8)
+    fresh = lambda: [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    rows, want = [], []
+    for i in range(1, 400, 10):
+        one, two = fresh(), fresh()
+        rows += [(i, one), (i, two), (i + 1, [*one[:-1], "x"]), (i + 2, [*two[:-1], "y"])]
+        want += [(i, 118, i, True)] * 2 + [(i + 1, 118, i, False), (i + 2, 118, i, False)]
+        three = fresh()  # near copies of an id's second text do not move those of its first
+        rows += [(i + 3, three), (i + 4, three[:-1]), (i + 4, one[::-1]), (i + 5, [*one[::-1], "z"])]
+        want += [(i + 3, 118, i + 3, True), (i + 4, 117, i + 3, False), (i + 4, 118, i + 4, True), (i + 5, 119, i + 4, False)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, minhash_dedup.near_duplicates(df, 3, 85).collect())) == sorted(want)
+
+
 # ------------------------------------------------------------------- WARC
 
 

@@ -95,7 +95,7 @@ class Model:
         return centres
 
     def _fit_limits(self, points: list[np.ndarray]) -> None:
-        """Least cosine by the logarithm of the length, from pieces of sample texts."""
+        """Least cosine by the logarithm of the length, from two pieces of every sample text that is long enough."""
         self.limits = np.zeros(24)
         if not len(self.centroids):
             return
@@ -103,8 +103,12 @@ class Model:
             pieces = [p[i : i + (1 << size)] for p in points if len(p) >= 1 << size for i in (0, len(p) // 2) if len(p) - i >= 1 << size]
             if len(pieces) < 20:
                 break
-            best = (self.weigh(np.stack([counts_of(p) for p in pieces[:400]])) @ self.centroids.T).max(axis=1)
-            self.limits[size:] = REJECT_SHARE * best.min()
+            best = [self._nearest(pieces[at : at + 64]).max(axis=1).min() for at in range(0, len(pieces), 64)]
+            self.limits[size:] = REJECT_SHARE * min(best)
+
+    def _nearest(self, points: list[np.ndarray]) -> np.ndarray:
+        """Cosines of each text with each centroid."""
+        return self.weigh(np.stack([counts_of(p) for p in points])) @ self.centroids.T
 
     def predict(self, texts: list[str]) -> list[tuple[str, float, bool]]:
         """(language, cosine, rejected); no letters: (und, 0, true)."""
@@ -114,7 +118,7 @@ class Model:
             if not len(self.centroids):
                 out += [(UNKNOWN, 0.0, True)] * len(points)
                 continue
-            near = self.weigh(np.stack([counts_of(p) for p in points])) @ self.centroids.T
+            near = self._nearest(points)
             for p, row in zip(points, near, strict=True):
                 k = int(row.argmax())
                 if not p.any():

@@ -161,6 +161,16 @@ def test_languages_and_rejection(spark):
     assert nothing.predict(["word"]) == [("und", 0.0, True)]
 
 
+def test_limits_come_from_every_language():
+    rng = random.Random(3)
+    few, many = ["tha", "ing"], [a + b for a in "bcdfgklmnprstvz" for b in "aeiouy"]
+    of = {"aa": lambda: rng.choice(few) * 2, "bb": lambda: "".join(rng.choices(many, k=3))}
+    samples = [(" ".join(of[lang]() for _ in range(60)), lang) for lang in ("aa", "bb") for _ in range(250)]
+    model = language_id.Model(samples)
+    got = [model.predict([t[:n]])[0] for t, _ in samples for n in (40, 300)]
+    assert [(g[0], g[2]) for g in got] == [(lang, False) for _, lang in samples for _ in (0, 1)]
+
+
 def test_op6_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}

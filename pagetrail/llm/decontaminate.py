@@ -5,7 +5,9 @@ u a power of two. Documents are read in blocks of u shingles, and each two
 neighbouring blocks are a window, so a passage of up to u shingles lies in
 some window of twice its class, however long the document. A window that
 shares a MinHash value with an item is a candidate; candidates are confirmed
-by the exact containment of the item's shingle set in the document's.
+by the exact containment of the item's shingle set in the document's. Items
+of fewer than ``WHOLE`` shingles are looked up by one of them instead, which
+misses none.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from pagetrail.llm.shared import mix64, stored, table, text_slices
 SHINGLE, CONTAINMENT = 5, 0.8
 #: A window shares at least 0.19 of its shingles with an item that it holds to 0.8: all 64 values miss with probability 1e-6.
 HASHES = 64
+#: An item of fewer shingles is held to 0.8 only if all of them are (0.8 * 4 > 3), so any one of them finds it.
+WHOLE = 5
 #: Items are searched in blocks of so many characters, which bounds what is sent to the workers.
 BLOCK_CHARS = 16 << 20
 WORD = re.compile(r"[^\W_]+")
@@ -53,7 +57,7 @@ def shingle_run(text: str | None, hashes: Hashes) -> np.ndarray:
 
 
 class Index:
-    """MinHash values of the items of a block, by size class."""
+    """MinHash values of the items of a block, by size class; one shingle each of the smallest."""
 
     def __init__(self, items: list[tuple[int, str]], seed: int = 11) -> None:
         rng = np.random.default_rng(seed)
@@ -63,8 +67,13 @@ class Index:
         self.items = [(i, s) for i, t in items if len(s := np.unique(shingle_run(t, hashes)))]
         #: u -> for each permutation (values in order, positions of their items, small table of low bits)
         self.classes: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
-        sizes = np.array([1 << max(3, (len(s) - 1).bit_length()) for _, s in self.items], int)
-        for u in sorted(set(sizes.tolist())):
+        sizes = np.array([1 << (len(s) - 1).bit_length() if len(s) >= WHOLE else 0 for _, s in self.items], int)
+        own = np.flatnonzero(sizes == 0)
+        values = np.array([self.items[i][1][0] for i in own], np.uint64)
+        order = np.argsort(values)
+        #: shingles in order, positions of their items
+        self.small = values[order], own[order]
+        for u in sorted(set(sizes[sizes > 0].tolist())):
             own = np.flatnonzero(sizes == u)
             self.classes[u] = []
             for k in range(HASHES):
@@ -79,8 +88,14 @@ class Index:
         return p ^ (p >> np.uint64(32))
 
     def candidates(self, runs: list[np.ndarray]) -> set[tuple[int, int]]:
-        """(run, item) positions with a common MinHash value in some window. Runs must not be empty."""
+        """(run, item) positions with a common MinHash value in some window, or the shingle of a small item. Runs must not be empty."""
         flat, found = np.concatenate(runs), set()
+        values, owners = self.small
+        if len(values):
+            low, high = np.searchsorted(values, flat, "left"), np.searchsorted(values, flat, "right")
+            hit, ends = np.flatnonzero(low < high), np.cumsum([len(r) for r in runs])
+            for run, a, b in zip(np.searchsorted(ends, hit, "right"), low[hit], high[hit], strict=True):
+                found.update((int(run), int(i)) for i in owners[a:b])
         levels, starts, lengths = [], np.cumsum([0, *map(len, runs)])[:-1], np.array([len(r) for r in runs])
         size = 1
         for u in self.classes:  # from small to large: the minima of larger blocks come from those of smaller ones

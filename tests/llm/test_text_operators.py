@@ -206,6 +206,17 @@ def test_containment_equals_brute_force(spark):
     assert decontaminate.contaminated(table, bench.limit(0)).count() == decontaminate.contaminated(table.limit(0), bench).count() == 0
 
 
+def test_small_items_are_never_missed():
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    items = [(n, " ".join(word() for _ in range(n))) for n in (5, 5, 6, 7, 8)]
+    index, hashes = decontaminate.Index(items), decontaminate.Hashes()
+    texts = [" ".join([t, *(word() for _ in range(11))]) for _ in range(1000) for _, t in items]
+    got = index.search(texts, hashes)
+    assert got == [(i, items[i % 5][0], items[i % 5][0] - 4, items[i % 5][0] - 4) for i in range(len(texts))]
+    assert index.search([" ".join(word() for _ in range(50)), items[4][1].rsplit(" ", 1)[0]], hashes) == []
+
+
 def test_item_blocks_give_the_same_pairs(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))

@@ -84,52 +84,102 @@ def _plain(data: bytes, at: int) -> tuple[int, dict[str, str], bytes]:
     return end + 4, headers, block
 
 
-def _one(data: bytes, at: int) -> tuple[int, list[tuple[dict[str, str], bytes]]]:
-    """End and records of the member or plain record at ``at``."""
-    if not data.startswith(GZIP, at):
-        end, headers, block = _plain(data, at)
-        return end, [(headers, block)]
+def _inflated(data: bytes, at: int) -> tuple[bytes, int | None, str]:
+    """Content, end and fault of the member at ``at``. If bad or cut it has no end, and the content is what comes before the fault."""
     unpacker = zlib.decompressobj(31)
     try:
         inner = unpacker.decompress(memoryview(data)[at:])
+        if unpacker.eof:
+            return inner, len(data) - len(unpacker.unused_data), ""
+        return inner, None, "member is cut"
     except zlib.error as e:
-        raise Broken(f"bad member: {e}") from None
-    if not unpacker.eof:
-        raise Broken("member is cut")
-    records, pos = [], 0
-    while pos < len(inner):
-        pos, headers, block = _plain(inner, pos)
-        records.append((headers, block))
-    return len(data) - len(unpacker.unused_data), records
+        fault = f"bad member: {e}"
+    unpacker, parts, step = zlib.decompressobj(31), [], 4096
+    while at < len(data):  # a failing call gives nothing, so the step that fails is taken byte by byte
+        before = unpacker.copy()
+        try:
+            parts.append(unpacker.decompress(data[at : at + step]))
+            at += step
+        except zlib.error:
+            if step == 1:
+                break
+            unpacker, step = before, 1
+    return b"".join(parts), None, fault
+
+
+def _records(inner: bytes, digested: bool) -> Iterator[tuple[str, int, int, object]]:
+    """Records of a member's content and the gaps between; if ``digested`` only records with a block digest pass."""
+
+    def one(at: int) -> tuple[int, dict[str, str], bytes]:
+        end, headers, block = _plain(inner, at)
+        if digested and not headers.get("warc-block-digest", "").startswith("sha256:"):
+            raise Broken("no block digest in a bad member")
+        return end, headers, block
+
+    at = 0
+    while at < len(inner):
+        start, reason, got = at, "", None
+        while at >= 0 and got is None:
+            try:
+                got = one(at)
+            except Broken as e:
+                reason = reason or str(e)
+                at = inner.find(VERSION, at + 1)
+        if reason:
+            yield "gap", start, at if got else len(inner), reason
+        if not got:
+            return
+        yield "record", at, got[0], got[1:]
+        at = got[0]
+
+
+def _one(data: bytes, at: int) -> tuple[int | None, list[tuple[str, object]]]:
+    """End, if it is certain, and records and gaps of the member or plain record at ``at``."""
+    if not data.startswith(GZIP, at):
+        try:
+            end, headers, block = _plain(data, at)
+        except Broken as e:
+            return None, [("gap", str(e))]
+        return end, [("record", (headers, block))]
+    inner, end, fault = _inflated(data, at)
+    found: list[tuple[str, object]] = []
+    for kind, a, b, what in _records(inner, digested=fault.startswith("bad")):
+        if kind == "record":
+            found.append((kind, what))
+        elif end is not None or b < len(inner):
+            found.append((kind, f"bytes {a} to {b} of the member's content: {what}"))
+    if fault == "member is cut" and [k for k, _ in found] == ["record"] and b == len(inner):
+        found = []  # a member of one record fails with its check
+    return end, found if end is not None else [*found, ("gap", fault)]
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
     """("record", start, end, (headers, block)) and ("gap", start, end, reason).
 
-    Every byte is in one of them, but for a line feed at the very end.
+    Every byte is in one of them, but for a line feed at the very end. The
+    records of a member, and the gaps between them, have the member's range;
+    a bad or cut member's reaches to where the reader goes on. A cut member
+    whose content is just one record is a gap, whatever the record's digest.
     """
-    at = 0
+    at, ready = 0, None
     while at < len(data) and data[at:] != b"\n":
-        try:
-            end, records = _one(data, at)
-        except Broken as e:
-            reason, nxt = str(e), at + 1
-            while True:
-                places = [p for p in (data.find(GZIP, nxt), data.find(VERSION, nxt)) if p >= 0]
+        end, found = ready or _one(data, at)
+        ready = None
+        if end is None:
+            end = at + 1
+            while ready is None:
+                places = [p for p in (data.find(GZIP, end), data.find(VERSION, end)) if p >= 0]
                 if not places:
-                    nxt = len(data)
-                    break
-                nxt = min(places)
-                try:
-                    _one(data, nxt)
+                    end = len(data)
                     break
-                except Broken:
-                    nxt += 1
-            yield "gap", at, nxt, reason
-            at = nxt
-            continue
-        for found in records:
-            yield "record", at, end, found
+                end = min(places)
+                whole, inside = _one(data, end)
+                if any(kind == "record" for kind, _ in inside) or (whole is not None and not inside):
+                    ready = whole, inside
+                else:
+                    end += 1
+        for kind, what in found:
+            yield kind, at, end, what
         at = end
 
 

@@ -105,6 +105,36 @@ def test_salvage_goes_on_after_damage():
     assert zlib.decompress(members[0], 31) == made[0]
 
 
+def test_salvage_of_members_with_several_records(spark, tmp_path):
+    rng = random.Random(7)
+    made = [warc.record(i, f"http://h/{i}", p := rng.randbytes(3000), hashlib.sha256(p).hexdigest(), None, False) for i in range(9)]
+    ids = lambda found: [int(f[3][0]["warc-record-id"][10:-1]) for f in found if f[0] == "record"]
+    wrong = bytearray(made[1])
+    wrong[-50] ^= 1  # its digest differs
+    short = made[3].replace(b"\nContent-Length: 3", b"\nContent-Length: 2", 1)
+    member = warc.gzip_member(b"".join([made[0], bytes(wrong), made[2], short, b"junk", made[4]]))
+    data = member + warc.gzip_member(made[5])
+    found = list(warc.salvage(data))
+    assert ids(found) == [0, 2, 4, 5] and [f[0] for f in found] == ["record", "gap", "record", "gap", "record", "record"]
+    assert {f[1:3] for f in found[:5]} == {(0, len(member))} and found[5][1:3] == (len(member), len(data))
+    assert found[1][3].startswith(f"bytes {len(made[0])} to {len(made[0]) + len(wrong)} of")
+    whole = warc.gzip_member(b"".join(made[:5]))
+    cut = whole[: len(whole) * 7 // 10]
+    assert ids(warc.salvage(cut)) == [0, 1, 2] and ids(warc.salvage(cut + warc.gzip_member(made[8]))) == [0, 1, 2, 8]
+    for at in (len(whole) // 2, len(whole) - 6):  # within a record's bytes, within the check sum
+        bad = bytearray(whole)
+        bad[at] ^= 0xFF
+        got = list(warc.salvage(bytes(bad) + data))
+        assert set(ids(got)) >= {0, 1, 0, 2, 4, 5} and ids(got)[-4:] == [0, 2, 4, 5] and ("gap", 0, len(whole)) in [f[:3] for f in got]
+        assert all(f[3][1] in made[int(f[3][0]["warc-record-id"][10:-1])] for f in got if f[0] == "record")
+    undigested = b"".join(made[:2]).replace(b"WARC-Block-Digest", b"X-Block-Digest")
+    assert ids(warc.salvage(warc.gzip_member(undigested))) == [0, 1]
+    assert ids(warc.salvage(warc.gzip_member(undigested)[:-8] + b"\0" * 8)) == []
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    assert [r.record_id and int(r.record_id[10:-1]) for r in rows] == [0, None, 2, None, 4, 5]
+
+
 def test_archives_of_odd_pages(spark, tmp_path):
     same = "é" * 60
     rows = [(3, "http://a/\r\nX: y", same), (1, None, same), (2, "u", same), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (7, "u", ""), (None, "u", same), (2, "u", same)]

@@ -190,7 +190,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows, as they are, that hold no item to 0.8 or more."""
+    """The rows, as they are, that hold no item to 0.8 or more.
+
+    A benchmark of one block is searched as the rows pass by. With more, the
+    digests of contaminated texts are found block by block and their rows
+    dropped by a join, so that one block is with the workers at a time.
+    """
     context, at = docs.sparkSession.sparkContext, docs.columns.index(text_col)
 
     def without(index):
@@ -204,9 +209,16 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> Data
 
         return run
 
-    for block in _blocks(benchmark):
-        docs = docs.mapInArrow(without(context.broadcast(Index(block))), docs.schema)
-    return docs
+    blocks = _blocks(benchmark)
+    block = next(blocks, None)
+    if block is None:
+        return docs
+    if next(blocks, None) is None:
+        return docs.mapInArrow(without(context.broadcast(Index(block))), docs.schema)
+    digest = F.sha2(docs[text_col], 256)
+    found = contaminated(docs.select(digest.alias("digest"), docs[text_col].alias("text")), benchmark, "digest")
+    found = stored(found.select(F.col("doc_id").alias("digest")).distinct(), "contaminated-texts")
+    return docs.join(found, digest == found["digest"], "left_anti")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

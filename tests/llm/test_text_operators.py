@@ -224,6 +224,16 @@ def test_item_blocks_give_the_same_pairs(spark, monkeypatch):
     assert sorted(map(tuple, decontaminate.contaminated(docs, bench).collect())) == whole
 
 
+def test_clean_holds_one_block_at_a_time(spark, monkeypatch):
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    docs = docs.unionByName(docs.limit(3)).unionByName(docs.limit(2).withColumn("text", decontaminate.F.lit(None).cast("string")))
+    whole = sorted(map(repr, decontaminate.clean(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 3000)
+    got = decontaminate.clean(docs, bench)
+    assert sorted(map(repr, got.collect())) == whole and len(whole) < docs.count() and got.columns == docs.columns
+    assert got._jdf.queryExecution().analyzed().toString().count("MapInArrow") <= 1
+
+
 def test_op8_equals_sql(spark, against_sql):
     against_sql(QUERIES["op8_decontaminate"](spark, SF), ORACLE_SQL["op8_decontaminate"], SF)
 

@@ -321,12 +321,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fiel
 
 
 def all_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int, int]]]:
-    """Base spans and those of the field that touch none of them."""
+    """Base spans and those of the field that lie in none of them; they may overlap."""
     out = []
     for text, extra in zip(texts, tagger.spans(texts), strict=True):
-        spans = base_spans(text)
-        spans += [(a, 3, b) for a, b in extra if not any(s < b and a < e for s, _, e in spans)]
-        out.append(sorted(spans))
+        base = base_spans(text)
+        out.append(sorted(base + [(a, 3, b) for a, b in extra if not any(s <= a and b <= e for s, _, e in base)]))
     return out
 
 

@@ -127,6 +127,17 @@ def test_field_finds_what_the_patterns_miss_and_leaves_prose(spark):
     assert tuple(tags) == best[1]
 
 
+def test_field_spans_beyond_base_spans_stay():
+    class Tagger:
+        def spans(self, texts):
+            return [[(9, 21), (9, 17), (30, 34)]]
+
+    text = "password=abcdefgh!xK9 and so  more"
+    (spans,) = secrets.all_spans([text], Tagger())
+    assert spans == [(0, 0, 17), (9, 3, 21), (30, 3, 34)]
+    assert secrets.without(text, spans, "#") == "# and so  #"
+
+
 def test_op3_equals_brute_force_base_and_odd_rows(spark):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in QUERIES["op3_secret_scan"](spark, SF).collect():

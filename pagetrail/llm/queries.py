@@ -6,6 +6,9 @@ from pagetrail.llm.bpe import op2_byte_bpe
 from pagetrail.llm.chat import OP1_SQL, op1_chat_formatting
 from pagetrail.llm.decontaminate import OP8_SQL, op8_decontaminate
 from pagetrail.llm.embedding_dedup import OP7_SQL, op7_embedding_dedup
+from pagetrail.llm.exact_dedup import OP11_SQL, op11_exact_dedup
+from pagetrail.llm.fill_in_middle import OP13_SQL, op13_fill_in_middle
+from pagetrail.llm.filter_audit import OP12_SQL, op12_filter_audit
 from pagetrail.llm.language_id import op6_language_id
 from pagetrail.llm.minhash_dedup import OP4_SQL, op4_minhash_dedup
 from pagetrail.llm.quality import op10_quality
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_url_filter": op9_url_filter,
     "op10_quality": op10_quality,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE_SQL = {
@@ -33,4 +39,7 @@ ORACLE_SQL = {
     "op7_embedding_dedup": OP7_SQL,
     "op8_decontaminate": OP8_SQL,
     "op9_url_filter": OP9_SQL,
+    "op11_exact_dedup": OP11_SQL,
+    "op12_filter_audit": OP12_SQL,
+    "op13_fill_in_middle": OP13_SQL,
 }

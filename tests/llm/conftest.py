@@ -15,7 +15,7 @@ def against_sql():
 
     def run(df, sql, sf):
         con = duckdb.connect()
-        for t in "documents embeddings pages benchmark conversations".split():
+        for t in "documents embeddings pages benchmark labels conversations".split():
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
         got = df.select(sorted(df.columns)).collect()
         cur = con.execute(sql)

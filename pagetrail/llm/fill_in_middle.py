@@ -1,12 +1,12 @@
 """Fill-in-the-middle transformation, assembled by a secondary sort.
 
 Every document is cut into lines. Chunks of whole lines are emitted as pieces
-keyed by document and place in the output; ``repartitionAndSortWithinPartitions``
-brings the pieces of a document together in the order of its output, so a task
-streams them, piece after piece, into texts or incremental digests. The exact
-text comes back from the output and its form alone: the output is read as a
-stream, cut at its markers, keyed by place in the text and sorted again. That
-keeps the partitioning, so no piece is shuffled twice.
+keyed by document and place in the output; repartitioning and sorting within
+partitions brings the pieces of a document together in the order of its
+output, so a task streams them, piece after piece, into texts or incremental
+digests. The exact text comes back from the output and its form alone: the
+output is read as a stream, cut at its markers, keyed by place in the text and
+sorted again, within the same partitions, so no piece is shuffled twice.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import groupby
 
+import pyarrow as pa
 import zstandard
-from pyspark import RDD
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pagetrail.llm.shared import ship, table
 
@@ -35,6 +36,9 @@ PLACE = {PREFIX: 0, MIDDLE: 1, SUFFIX: 2}
 
 #: Code points of a piece. It ends with a line, unless the line is longer.
 PIECE = 1 << 16
+#: Bytes of a record batch, and what a row is taken to need besides its texts.
+BATCH_BYTES, ROW_BYTES = 1 << 23, 128
+ROWS_AT_ONCE = 256
 #: Sorts before all pieces of a document: what is known of it besides.
 HEAD = -1
 
@@ -119,67 +123,101 @@ def text_pieces(chunks: Iterator[bytes], form: str) -> Iterator[tuple[int, int,
 # -------------------------------------------------------------- the documents
 
 
-def _task_of(key: tuple) -> int:
-    """Deals a document's pieces to one task; equal rows have names of their own."""
-    return zlib.crc32(repr(key[0]).encode())
+class Batches:
+    """Rows in record batches of bounded size."""
 
+    def __init__(self, schema: pa.Schema) -> None:
+        self.schema = schema
 
-def _sorted_pieces(pairs: RDD, tasks: int) -> RDD:
-    """Pairs (document, slot, number) -> bytes, brought together by document and sorted.
+    def of(self, rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        some, held = [], 0
+        for row in rows:
+            some.append(row)
+            held += ROW_BYTES + sum(len(v) for v in row if isinstance(v, (str, bytes)))
+            if held >= BATCH_BYTES:
+                yield self._batch(some)
+                some, held = [], 0
+        if some:
+            yield self._batch(some)
 
-    If they are dealt so already, they are sorted where they are.
-    """
-    return pairs.repartitionAndSortWithinPartitions(tasks, _task_of)
+    def _batch(self, rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, self.schema, strict=True)], schema=self.schema)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of record batches, one after another; some at a time are Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            some = batch.slice(at, ROWS_AT_ONCE)
+            yield from zip(*(column.to_pylist() for column in some.columns), strict=True)
 
 
-def _named_rows(part: int, rows: Iterator) -> Iterator[tuple[tuple, object, str]]:
-    """Rows (id, text, ...) with a name each: id, task and number of the row among those alike in the task.
+def _map(df: DataFrame, rows_of: Callable[[Iterator[tuple]], Iterator[tuple]], ddl: str) -> DataFrame:
+    """``df`` with its rows streamed through ``rows_of`` in each task."""
+    schema = df.sparkSession.createDataFrame([], ddl).schema
+    batches = Batches(to_arrow_schema(schema))
+    return df.mapInArrow(lambda found: batches.of(rows_of(_rows(found))), schema)
 
-    Names do not depend on the order of the rows, so a task that runs again
-    on the same rows in another order gives the same pieces.
+
+def _named_rows(rows: Iterator[tuple]) -> Iterator[tuple[str, tuple, str]]:
+    """(name, row, text) of rows (id, text, ..., number of their task).
+
+    A name is made of the id, the task and the row's number among those alike in the task.
+    It does not depend on the order of the rows, so a task that runs again
+    on the same rows in another order gives the same pieces, and rows alike
+    have names of their own.
     """
     seen: Counter = Counter()
     for row in rows:
         text = row[1] or ""
         alike = (row[0], zlib.crc32(text.encode("utf-8", "surrogatepass")), len(text))
-        yield (str(row[0]), part, *map(int, alike[1:]), seen[alike]), row, text
         seen[alike] += 1
+        yield ":".join(map(str, (*alike, row[-1], seen[alike]))), row, text
 
 
-def _documents(pairs: Iterator) -> Iterator[tuple[tuple, object, Iterator[bytes]]]:
-    """(name, head, chunks) of each document of sorted pairs."""
-    unpack = zstandard.ZstdDecompressor()
-    for name, found in groupby(pairs, lambda pair: pair[0][0]):
-        yield name, next(found)[1], (unpack.decompress(piece) for _, piece in found)
+def _secondary_sort(pieces: DataFrame) -> DataFrame:
+    """Pieces brought together by document, and sorted by place in each task: RDDs' ``repartitionAndSortWithinPartitions``."""
+    tasks = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _resorted(pieces.repartition(tasks, "name"))
 
 
-def _assembled(docs: DataFrame, id_col: str, text_col: str) -> tuple[RDD, int]:
-    """Sorted pieces of all outputs, and the number of tasks."""
-    spark = docs.sparkSession
-    ship(spark)
-    tasks, size = int(spark.conf.get("spark.sql.shuffle.partitions")), PIECE
+def _resorted(pieces: DataFrame) -> DataFrame:
+    """Pieces that lie together by document, sorted where they are."""
+    return pieces.sortWithinPartitions("name", "place", "number")
 
-    def emit(part: int, rows: Iterator) -> Iterator[tuple]:
-        pack = zstandard.ZstdCompressor(level=3)
-        for name, row, text in _named_rows(part, rows):
-            n, form, low, high = split(row[0], text)
-            chars = (None, None) if form == PLAIN else (low, high - low)
-            yield (name, HEAD, 0), (row[0], n, form, *chars)
-            for slot, number, piece in output_pieces(text, form, low, high, size):
-                yield (name, slot, number), pack.compress(piece)
 
-    return _sorted_pieces(docs.select(id_col, text_col).rdd.mapPartitionsWithIndex(emit), tasks), tasks
+def _documents(rows: Iterator[tuple]) -> Iterator[tuple[str, tuple, Iterator[bytes]]]:
+    """(name, facts, chunks) of each document of sorted pieces (name, place, number, piece, *facts); the facts come first."""
+    unpack = zstandard.ZstdDecompressor()
+    for name, found in groupby(rows, lambda row: row[0]):
+        yield name, next(found)[4:], (unpack.decompress(row[3]) for row in found)
 
 
-def _frame(spark: SparkSession, rows: RDD, schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema, verifySchema=False)
+def _id_type(df: DataFrame, id_col: str) -> str:
+    return df.schema[id_col].dataType.simpleString()
 
 
 FACTS = "n long, form string, prefix_chars long, middle_chars long"
+PLACED = "name string, place int, number int, piece binary"
 
 
-def _id_type(df: DataFrame, id_col: str) -> str:
-    return df.schema[id_col].dataType.simpleString()
+def _assembled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The pieces of all outputs, sorted."""
+    ship(docs.sparkSession)
+    size = PIECE
+
+    def emit(rows: Iterator[tuple]) -> Iterator[tuple]:
+        pack = zstandard.ZstdCompressor(level=3)
+        for name, row, text in _named_rows(rows):
+            n, form, low, high = split(row[0], text)
+            chars = (None, None) if form == PLAIN else (low, high - low)
+            yield (name, HEAD, 0, None, row[0], n, form, *chars)
+            for slot, number, piece in output_pieces(text, form, low, high, size):
+                yield (name, slot, number, pack.compress(piece), None, None, None, None, None)
+
+    read = docs.select(F.col(id_col), F.col(text_col), F.spark_partition_id())
+    return _secondary_sort(_map(read, emit, f"{PLACED}, doc_id {_id_type(docs, id_col)}, {FACTS}"))
 
 
 def transformed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -188,35 +226,33 @@ def transformed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Null texts are empty, and empty ones plain; other columns are not read.
     Repeated rows come out as often as they come in.
     """
-    pieces, _ = _assembled(docs, id_col, text_col)
 
-    def join(pairs: Iterator) -> Iterator[tuple]:
-        for _, head, chunks in _documents(pairs):
-            yield (*head, b"".join(chunks).decode("utf-8", "surrogatepass"))
+    def join(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for _, facts, chunks in _documents(rows):
+            yield (*facts, b"".join(chunks).decode("utf-8", "surrogatepass"))
 
-    return _frame(docs.sparkSession, pieces.mapPartitions(join), f"doc_id {_id_type(docs, id_col)}, {FACTS}, output string")
+    return _map(_assembled(docs, id_col, text_col), join, f"doc_id {_id_type(docs, id_col)}, {FACTS}, output string")
 
 
 def restored(outputs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, text) of rows (doc_id, output, form), from output and form alone."""
-    spark = outputs.sparkSession
-    ship(spark)
-    tasks, size = int(spark.conf.get("spark.sql.shuffle.partitions")), PIECE
+    ship(outputs.sparkSession)
+    id_type, size = _id_type(outputs, id_col), PIECE
 
-    def emit(part: int, rows: Iterator) -> Iterator[tuple]:
+    def emit(rows: Iterator[tuple]) -> Iterator[tuple]:
         pack = zstandard.ZstdCompressor(level=3)
-        for name, row, output in _named_rows(part, rows):
-            yield (name, HEAD, 0), row[0]
+        for name, row, output in _named_rows(rows):
+            yield name, HEAD, 0, None, row[0]
             chunks = (p.encode("utf-8", "surrogatepass") for p in pieces_of(output, 0, len(output), size))
             for place, number, piece in text_pieces(chunks, row[2]):
-                yield (name, place, number), pack.compress(piece)
+                yield name, place, number, pack.compress(piece), None
 
-    def join(pairs: Iterator) -> Iterator[tuple]:
-        for _, head, chunks in _documents(pairs):
-            yield head, b"".join(chunks).decode("utf-8", "surrogatepass")
+    def join(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for _, facts, chunks in _documents(rows):
+            yield facts[0], b"".join(chunks).decode("utf-8", "surrogatepass")
 
-    pieces = _sorted_pieces(outputs.select(id_col, "output", "form").rdd.mapPartitionsWithIndex(emit), tasks)
-    return _frame(spark, pieces.mapPartitions(join), f"doc_id {_id_type(outputs, id_col)}, text string")
+    read = outputs.select(F.col(id_col), "output", "form", F.spark_partition_id())
+    return _map(_secondary_sort(_map(read, emit, f"{PLACED}, doc_id {id_type}")), join, f"doc_id {id_type}, text string")
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -225,26 +261,26 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     No task holds an output or a rebuilt text whole; its pieces are sorted,
     on disk where they do not fit, and streamed.
     """
-    pieces, tasks = _assembled(docs, id_col, text_col)
+    id_type = _id_type(docs, id_col)
 
-    def digest_and_cut(pairs: Iterator) -> Iterator[tuple]:
+    def digest_and_cut(rows: Iterator[tuple]) -> Iterator[tuple]:
         pack = zstandard.ZstdCompressor(level=3)
-        for name, head, chunks in _documents(pairs):
+        for name, facts, chunks in _documents(rows):
             digest = hashlib.sha256()
-            for place, number, piece in text_pieces(_through(chunks, digest.update), head[2]):
-                yield (name, place, number), pack.compress(piece)
-            yield (name, HEAD, 0), (*head, digest.hexdigest())
+            for place, number, piece in text_pieces(_through(chunks, digest.update), facts[2]):
+                yield (name, place, number, pack.compress(piece), *[None] * 6)
+            yield (name, HEAD, 0, None, *facts, digest.hexdigest())
 
-    def digest_text(pairs: Iterator) -> Iterator[tuple]:
-        for _, head, chunks in _documents(pairs):
+    def digest_text(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for _, facts, chunks in _documents(rows):
             digest = hashlib.sha256()
             for chunk in chunks:
                 digest.update(chunk)
-            yield (*head, digest.hexdigest())
+            yield (*facts, digest.hexdigest())
 
-    again = _sorted_pieces(pieces.mapPartitions(digest_and_cut, preservesPartitioning=True), tasks)
-    schema = f"doc_id {_id_type(docs, id_col)}, {FACTS}, output_sha256 string, restored_sha256 string"
-    return _frame(docs.sparkSession, again.mapPartitions(digest_text), schema)
+    known = f"doc_id {id_type}, {FACTS}, output_sha256 string"
+    again = _resorted(_map(_assembled(docs, id_col, text_col), digest_and_cut, f"{PLACED}, {known}"))
+    return _map(again, digest_text, f"{known}, restored_sha256 string")
 
 
 def _through(chunks: Iterator[bytes], use: Callable[[bytes], None]) -> Iterator[bytes]:

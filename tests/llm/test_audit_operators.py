@@ -236,6 +236,5 @@ def test_fill_in_middle_of_no_rows(spark):
 
 
 def test_texts_are_shuffled_once(spark):
-    pieces, tasks = fill_in_middle._assembled(documents(spark, fim_rows()), "doc_id", "text")
-    dealt = pieces.mapPartitions(lambda pairs: pairs, preservesPartitioning=True)
-    assert dealt.partitionBy(tasks, fill_in_middle._task_of) is dealt
+    plan = fill_in_middle.digests(documents(spark, fim_rows()))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("MapInArrow") == 3 and "SinglePartition" not in plan

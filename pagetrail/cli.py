@@ -6,8 +6,9 @@
 
 Every command reads its inputs, runs the job's DataFrame function and either
 shows the answer (``--show N``, default 20 rows) or writes it (``--out``,
-Parquet; text for the tab export). Keyed tables are folders written by the
-``load-*`` commands (Parquet, range-partitioned and sorted by key).
+Parquet; text for the tab export). Keyed tables are written by the ``load-*``
+commands: Parquet folders sorted by key, or with ``--ranges`` stores that
+``--merge`` merges into.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pagetrail import sinks
-from pagetrail.plans import clustering, keyed_pageviews, pageviews, text, workforce
+from pagetrail.plans import clustering, ingest, keyed_pageviews, pageviews, text, workforce
 from pagetrail.sources import read_jdbc, read_jdbc_auto, read_pageview_parquet, read_pageview_tsv, read_points_text
 
 
@@ -48,6 +49,16 @@ def _table(spark: SparkSession, path: str | None) -> DataFrame | None:
     return sinks.read_keyed_table(spark, path) if path else None
 
 
+def _keep(loaded: DataFrame, path: str, args: argparse.Namespace) -> None:
+    """Write a loaded table as a Parquet folder or a store, or merge it into the store at ``path``."""
+    if args.merge:
+        sinks.merge_store(loaded, path)
+    elif args.ranges:
+        sinks.create_store(loaded, path, ranges=args.ranges)
+    else:
+        sinks.write_keyed_table(loaded, path)
+
+
 def _relations(spark: SparkSession, args: argparse.Namespace) -> Callable[[str], DataFrame]:
     """Reader of the workforce tables by name: Parquet folders, or a database (the large ones by ranges of emp_no)."""
     if bool(args.tables) == bool(args.jdbc_url):
@@ -66,7 +77,10 @@ def _relations(spark: SparkSession, args: argparse.Namespace) -> Callable[[str],
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     c = args.command
-    if c == "tsv-to-parquet":
+    if c == "tsv-to-parquet" and args.quarantine:
+        for name, n in ingest.ingest_tsv(spark, args.src, args.dst, args.quarantine).items():
+            print(f"{name}\t{n}")
+    elif c == "tsv-to-parquet":
         sinks.write_parquet(read_pageview_tsv(spark, args.src), args.dst)
     elif c == "top-urls":
         _emit(pageviews.top_url_per_guid_day(_log(spark, args)), args)
@@ -90,23 +104,19 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             lines.show(args.show, truncate=False)
     elif c == "report":
         out = args.out.rstrip("/")
-        with pageviews.shared_log(_log(spark, args)) as log:
-            for name, df in pageviews.report(log, args.gap_seconds).items():
-                if name == "gap_export":
-                    sinks.write_text(df, f"{out}/result.dat")
-                else:
-                    sinks.write_parquet(df, f"{out}/{name}")
+        log = _log(spark, args)
+        for name, df in pageviews.report(pageviews.stored_counts(log)).items():
+            sinks.write_parquet(df, f"{out}/{name}")
+        sinks.write_text(pageviews.gap_export(log, args.gap_seconds), f"{out}/result.dat")
     elif c == "load-pageviews":
         log = _log(spark, args)
-        if args.merge:
-            sinks.merge_keyed_table(keyed_pageviews.load_pageviews(log), args.table)
-        else:
-            loaded = keyed_pageviews.load_pageviews(log, target=_table(spark, args.into))
-            sinks.write_keyed_table(loaded, args.table, buckets=args.buckets)
+        _keep(keyed_pageviews.load_pageviews(log, target=_table(spark, args.into)), args.table, args)
         if args.visits:
-            sinks.write_keyed_table(keyed_pageviews.load_pageviews_by_visit(log), args.visits)
+            _keep(keyed_pageviews.load_pageviews_by_visit(log), args.visits, args)
     elif c == "urls-of-guid-day":
-        _emit(keyed_pageviews.urls_of_guid_day(spark.read.parquet(args.visits), args.guid, args.day), args)
+        day = f"{args.guid}_{args.day}"
+        visits = sinks.open_store(spark, args.visits).prefix(day) if sinks.is_store(spark, args.visits) else spark.read.parquet(args.visits)
+        _emit(keyed_pageviews.urls_of_guid_day(visits, args.guid, args.day), args)
     elif c == "ips-of-guid":
         _emit(keyed_pageviews.ips_of_guid(_log(spark, args), args.guid, _table(spark, args.table)), args)
     elif c == "last-visit":
@@ -122,16 +132,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         read = _relations(spark, args)
         flat = workforce.flatten_dept_emp(read("dept_emp"), read("employees"), read("departments"), read("dept_manager"))
         out = args.keyed.rstrip("/")
-        sinks.write_keyed_table(workforce.load_dept_emp(flat, _table(spark, args.into_dept_emp)), f"{out}/dept_emp")
-        sinks.write_keyed_table(workforce.load_salaries(read("salaries"), _table(spark, args.into_salaries)), f"{out}/salaries")
-        sinks.write_keyed_table(workforce.load_titles(read("titles"), _table(spark, args.into_titles)), f"{out}/titles")
+        _keep(workforce.load_dept_emp(flat, _table(spark, args.into_dept_emp)), f"{out}/dept_emp", args)
+        _keep(workforce.load_salaries(read("salaries"), _table(spark, args.into_salaries)), f"{out}/salaries", args)
+        _keep(workforce.load_titles(read("titles"), _table(spark, args.into_titles)), f"{out}/titles", args)
     elif c == "dept-members":
         fn = workforce.department_managers if args.managers else workforce.department_members
-        _emit(fn(spark.read.parquet(args.keyed), spark.read.parquet(args.dept_emp), args.dept), args)
+        _emit(fn(_table(spark, args.keyed), spark.read.parquet(args.dept_emp), args.dept), args)
     elif c == "payroll":
         _emit(workforce.payroll_on(spark.read.parquet(args.salaries), args.date, _table(spark, args.keyed)), args)
     elif c == "titles":
-        _emit(workforce.titles_of(spark.read.parquet(args.keyed), spark.read.parquet(args.titles), args.emp), args)
+        _emit(workforce.titles_of(_table(spark, args.keyed), spark.read.parquet(args.titles), args.emp), args)
     elif c == "kmeans":
         pts = read_points_text(spark, args.points)
         model = clustering.fit(pts, args.k, args.seed)
@@ -155,9 +165,14 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--explain", action="store_true", help="print the physical plan first")
         return p
 
+    def store_options(p: argparse.ArgumentParser) -> None:
+        p.add_argument("--ranges", type=int, help="write the keyed tables as stores of so many key ranges, for later merges")
+        p.add_argument("--merge", action="store_true", help="merge into the stores in place; only ranges that hold a loaded key are rewritten")
+
     p = cmd("tsv-to-parquet", "raw tab-separated log -> Parquet (overwrite)")
     p.add_argument("--src", required=True)
     p.add_argument("--dst", required=True)
+    p.add_argument("--quarantine", help="move lines with a bad field here, and print the counts of lines read, rejected and without a key")
     for name, help_ in [
         ("top-urls", "most visited path per visitor and day"),
         ("top-browsers", "most used browser per OS"),
@@ -176,7 +191,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--gap-seconds", type=float, default=600)
     p.add_argument("--whole-seconds", action="store_true", help="compare whole epoch seconds")
     p.add_argument("--fill-nulls", action="store_true")
-    p = sub.add_parser("report", help="every page-view answer in one go, one cached scan (writes under --out)")
+    p = sub.add_parser("report", help="every page-view answer: the counts in one pass, then the gap export (writes under --out)")
     p.add_argument("--log", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--gap-seconds", type=float, default=600)
@@ -184,8 +199,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--log", required=True)
     p.add_argument("--table", required=True, help="output folder of the cookie-keyed table")
     p.add_argument("--into", help="existing keyed table to merge into (a folder other than --table)")
-    p.add_argument("--buckets", type=int, help="write --table in so many hash buckets of the key, for later merges")
-    p.add_argument("--merge", action="store_true", help="merge into the bucketed --table in place; only touched buckets are rewritten")
+    store_options(p)
     p.add_argument("--visits", help="also write the visit-keyed table here")
     p = cmd("urls-of-guid-day", "paths of a visitor on a day (visit-keyed table)")
     p.add_argument("--visits", required=True)
@@ -208,6 +222,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--jdbc-url", help="database with these tables, instead of --tables")
     p.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE", help="JDBC option such as user or driver; may be repeated")
     p.add_argument("--keyed", required=True, help="output folder for the keyed tables")
+    store_options(p)
     for name in ("dept-emp", "salaries", "titles"):
         p.add_argument(f"--into-{name}", help="existing keyed table to merge into (not under --keyed)")
     p = cmd("dept-members", "members (or --managers) of a department")

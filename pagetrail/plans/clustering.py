@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
@@ -68,14 +71,14 @@ def assign(model: KMeansModel, points: DataFrame) -> DataFrame:
     return out.select("x", "y", vector_to_array("features").alias("features"), named.alias("prediction"))
 
 
-def assign_given(points: DataFrame, given: list[tuple[float, float]]) -> DataFrame:
-    """Every point with the nearest of given centres (x, y, prediction); the first of equally near ones."""
+def assign_given(points: DataFrame, given: list[tuple[float, float]], keep: Sequence[str] = ()) -> DataFrame:
+    """Every point with the nearest of given centres (x, y, columns to ``keep``, prediction); the first of equally near ones."""
     clean = points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
     x, y = F.col("x").cast("double"), F.col("y").cast("double")
     far = [(x - a) * (x - a) + (y - b) * (y - b) for a, b in given]
     least = F.least(*far) if len(far) > 1 else far[0]
     nearest = F.coalesce(*[F.when(f == least, F.lit(i)) for i, f in enumerate(far)])
-    return clean.select("x", "y", nearest.alias("prediction"))
+    return clean.select("x", "y", *keep, nearest.alias("prediction"))
 
 
 def step(points: DataFrame, given: list[tuple[float, float]]) -> DataFrame:
@@ -85,6 +88,55 @@ def step(points: DataFrame, given: list[tuple[float, float]]) -> DataFrame:
     )
 
 
+def settle(points: DataFrame, start: list[tuple[float, float]], max_steps: int = 100) -> tuple[list[tuple[float, float]], int]:
+    """Centres that one more ``step`` leaves as they are, from ``start`` on, and the steps taken.
+
+    Each step is one aggregation of the points, and only the k centres reach
+    the driver. A centre that is nearest to no point stays where it is.
+    """
+    now = [(float(x), float(y)) for x, y in start]
+    kept = points.select(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for taken in range(max_steps):
+            moved = {r.cluster: (r.x, r.y) for r in step(kept, now).collect()}
+            after = [moved.get(i, c) for i, c in enumerate(now)]
+            if after == now:
+                return now, taken
+            now = after
+    finally:
+        kept.unpersist()
+    raise RuntimeError(f"the centres have not settled in {max_steps} steps")
+
+
+def fit_from(points: DataFrame, start: list[tuple[float, float]]) -> DataFrame:
+    """k-means from given first centres until nothing moves: (cluster, n, x, y), as ``step`` gives for the settled centres."""
+    return step(points, settle(points, start)[0])
+
+
+def certificate(points: DataFrame, given: list[tuple[float, float]]) -> DataFrame:
+    """What one more step would do to given centres: (cluster, n, moved, shift), a row for each, zeros included.
+
+    ``n`` points are nearest to the centre, ``moved`` of them would be nearest to
+    another after the step, and the centre would go as far as ``shift``. A
+    fit has converged when ``moved`` is 0 and ``shift`` within the fit's tolerance.
+    """
+    means = {r.cluster: (r.x, r.y) for r in step(points, given).collect()}
+    after = [means.get(i, c) for i, c in enumerate(given)]
+    both = assign_given(points, given).select("x", "y", F.col("prediction").alias("cluster"))
+    again = assign_given(both.select("x", "y", "cluster"), after, keep=["cluster"])
+    shift = F.coalesce(*[F.when(F.col("cluster") == i, F.lit(math.dist(a, b))) for i, (a, b) in enumerate(zip(given, after, strict=True))])
+    counts = again.groupBy("cluster").agg(F.count("*").alias("n"), F.count_if(F.col("prediction") != F.col("cluster")).alias("moved"))
+    every = points.sparkSession.range(len(given)).select(F.col("id").cast("int").alias("cluster"))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return every.join(counts, "cluster", "left").select("cluster", zero("n"), zero("moved"), shift.alias("shift"))
+
+
+def kmeans_certificate(points: DataFrame, k: int, seed: int = KMEANS_SEED) -> DataFrame:
+    """``certificate`` of the centres that ``fit`` finds, numbered as in ``centers``."""
+    model = fit(points, k, seed)
+    return certificate(points, sorted(tuple(map(float, c)) for c in model.clusterCenters()))
+
+
 def kmeans_centers(points: DataFrame, k: int, seed: int = KMEANS_SEED) -> DataFrame:
     return centers(fit(points, k, seed), points.sparkSession)
 

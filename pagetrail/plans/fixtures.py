@@ -8,11 +8,15 @@ The same derivations are written in SQL for the oracle (``plans.oracle``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetrail.functions.time import epoch_millis_sql, hour_floor_sql
 from pagetrail.operators.joins import salted_join
+from pagetrail.schemas import PAGEVIEW_COLUMNS
+from pagetrail.session import checkpoint_dir
 from pagetrail.sources.files import read_table
 
 # Fixed values of the derivation (chosen for this test bed, see FIXTURES.md).
@@ -75,6 +79,24 @@ def pageview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pageview_from(events, _pages(spark, sf_dir), hour_floor_sql("ts", ts_type))
 
 
+def pageview_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with the page-view log as raw tab-separated lines, some of them bad.
+
+    By event id some lines have a time that is none, some lack their last
+    field, and some have no cookie time.
+    """
+    log = pageview(spark, sf_dir)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in PAGEVIEW_COLUMNS]
+    every = lambda n, k: F.col("event_id") % n == k
+    raw = log.select("event_id", *fields)
+    raw = raw.withColumn("timeCreate", F.when(every(50, 0), F.lit("no time")).otherwise(F.col("timeCreate")))
+    raw = raw.withColumn("cookieCreate", F.when(every(70, 7), F.lit("")).otherwise(F.col("cookieCreate")))
+    line = F.when(every(90, 11), F.concat_ws("\t", *PAGEVIEW_COLUMNS[:-1])).otherwise(F.concat_ws("\t", *PAGEVIEW_COLUMNS))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/raw-log-{uuid.uuid4().hex}"
+    raw.select(line).write.text(path)
+    return path
+
+
 def pageview_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pageview`` with instants (``timestamp``) for its wall-clock times, read as UTC whatever the session zone."""
     log = pageview(spark, sf_dir)

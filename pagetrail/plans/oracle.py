@@ -196,12 +196,17 @@ SELECT s.guid AS guid, s.timeCreate AS timeCreate, s.ip AS ip
 FROM puts l JOIN survivors s ON l.row_key = s.row_key
 WHERE s.guid = {R.GUID}
 ORDER BY s.timeCreate DESC, s.ip ASC, s.row_key ASC LIMIT 1""",
-    "kv_guids_os_browser_time": _w(PAGEVIEW, PUTS)
-    + f"""
-SELECT s.guid AS guid, s.timeCreate AS timeCreate, s.osCode AS osCode, s.browserCode AS browserCode
-FROM puts l JOIN survivors s ON l.row_key = s.row_key
-WHERE s.osCode = {R.OS_CODE} AND s.browserCode = {R.BROWSER_CODE}
-  AND s.timeCreate > {T1} AND s.timeCreate < {T2}""",
+    "kv_guids_os_browser_time": f"""
+WITH l AS (
+  SELECT epoch_us(date_trunc('hour', e.ts)) // 1000 AS row_key, epoch_us(e.ts) // 1000 AS timeCreate, e.event_id, e.user_id AS guid,
+         CAST(e.event_id % 7 AS INTEGER) AS osCode, CAST((e.event_id * 31 + e.user_id) % 5 AS INTEGER) AS browserCode
+  FROM events e JOIN (SELECT page_id FROM pages) p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
+), s AS (
+  SELECT row_key, count(*) AS views, max_by(struct_pack(guid, timeCreate, osCode, browserCode), struct_pack(a := timeCreate, b := event_id)) AS v
+  FROM l GROUP BY row_key
+)
+SELECT v.guid AS guid, v.timeCreate AS timeCreate, v.osCode AS osCode, v.browserCode AS browserCode FROM s, range(views)
+WHERE v.osCode = {R.OS_CODE} AND v.browserCode = {R.BROWSER_CODE} AND v.timeCreate > {T1} AND v.timeCreate < {T2}""",
     "kv_ips_of_guid_log": _w(PAGEVIEW)
     + f"SELECT ip, count(*) AS count FROM pageview WHERE guid = {R.GUID} GROUP BY ip",
     "kv_last_visit_log": _w(PAGEVIEW)
@@ -264,6 +269,35 @@ ORACLE_SQL["kv_upsert_pageview_stored"] = _w(PAGEVIEW, PUTS) + f"""
 SELECT row_key, {CELLS} FROM puts
 QUALIFY row_number() OVER (PARTITION BY row_key
   ORDER BY minute(epoch_ms(timeCreate)) < {R.HALF_HOUR} DESC, timeCreate DESC, event_id DESC) = 1"""
+ORACLE_SQL["kv_upsert_pageview_bucketed"] = ORACLE_SQL["kv_upsert_pageview_merge"]
+_BAD = "(event_id % 50 = 0 OR event_id % 90 = 11)"
+ORACLE_SQL["pv_ingest_counts"] = f"""
+SELECT count(*) AS lines, count(*) FILTER ({_BAD}) AS rejected, count(*) FILTER (NOT {_BAD} AND event_id % 70 = 7) AS without_key
+FROM events WHERE event_id % (SELECT count(*) FROM pages) IN (SELECT page_id FROM pages)"""
+ORACLE_SQL["pv_ingest_rows"] = _w(PAGEVIEW) + f"""
+SELECT guid, timeCreate, CASE WHEN event_id % 70 <> 7 THEN cookieCreate END AS cookieCreate, nullif(domain, '') AS domain,
+       nullif(path, '') AS path, ip, category FROM pageview WHERE NOT {_BAD}"""
+_REPORT = {
+    "top_url_per_guid_day": ("pv_top_url_per_guid_day", ["guid", "timeCreate", "path"], "access_count"),
+    "top_ips_by_guid": ("pv_top_ips_by_guid", ["ip"], "guid_count"),
+    "top_domains": ("pv_top_domains", ["domain"], "count"),
+    "top_locations_by_ip": ("pv_top_locs_by_ip", ["locId"], "unique_ip_count"),
+    "top_browser_per_os": ("pv_top_browser_per_os", ["osCode", "browserCode"], "rank"),
+}
+ORACLE_SQL["pv_report"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS answer, "
+    + ", ".join(f"CAST({k} AS VARCHAR) AS k{i}" for i, k in enumerate([*keys, "NULL", "NULL"][:3], 1))
+    + f", CAST({n} AS BIGINT) AS n FROM ({ORACLE_SQL[sql]})"
+    for name, (sql, keys, n) in _REPORT.items()
+)
+# Look-ups in the merged stores: some keys, and a range of keys.
+ORACLE_SQL["kv_get_hours_stored"] = (
+    f"SELECT * FROM ({ORACLE_SQL['kv_upsert_pageview_stored']}) WHERE row_key IN ({', '.join(str(_millis(t)) for t in R.HOURS)})"
+)
+ORACLE_SQL["emp_salaries_page"] = _w(WORKFORCE) + f"""
+SELECT emp_no, salary, from_date, to_date FROM salaries
+ORDER BY emp_no, from_date LIMIT {R.PAGE_SIZE} OFFSET {R.PAGE_NUMBER * R.PAGE_SIZE}"""
+ORACLE_SQL["kv_urls_of_guid_day_stored"] = ORACLE_SQL["kv_urls_of_guid_day"]
 # The same instants as zoned timestamps ask the same question.
 ORACLE_SQL["kv_upsert_pageview_zoned"] = ORACLE_SQL["kv_upsert_pageview"]
 ORACLE_SQL["kv_guids_os_browser_time_log_zoned"] = ORACLE_SQL["kv_guids_os_browser_time_log"]
@@ -282,6 +316,25 @@ _NEAREST = "SELECT l_quantity AS x, l_discount AS y, CASE " + " ".join(
     for i, (a, b) in enumerate(R.GIVEN_CENTERS)
 ) + " FROM lineitem)"
 ORACLE_SQL["kmeans_assign_given"] = _NEAREST
+
+
+def _settled(start: list[tuple[float, float]], steps: int) -> str:
+    """Lloyd's steps one after another; those after the centres have settled change nothing."""
+    k = len(start)
+    first = ", ".join(f"{a:f}::DOUBLE AS x{i}, {b:f}::DOUBLE AS y{i}" for i, (a, b) in enumerate(start))
+    far = ", ".join(f"(x - x{i}) * (x - x{i}) + (y - y{i}) * (y - y{i}) AS d{i}" for i in range(k))
+    least = f"least({', '.join(f'd{i}' for i in range(k))})"
+    nearest = "CASE " + " ".join(f"WHEN d{i} <= {least} THEN {i}" for i in range(k)) + " END AS c"
+    ctes = ["p AS (SELECT l_quantity AS x, l_discount AS y, count(*) AS n FROM lineitem GROUP BY ALL)", f"s0 AS (SELECT {first})"]
+    for s in range(steps):
+        ctes.append(f"a{s} AS (SELECT *, {nearest} FROM (SELECT *, {far} FROM p, s{s}))")
+        ctes.append(f"m{s} AS (SELECT c, sum(n) AS n, round(sum(x * n) / sum(n), 6) AS x, round(sum(y * n) / sum(n), 6) AS y FROM a{s} GROUP BY c)")
+        kept = ", ".join(f"coalesce((SELECT {v} FROM m{s} WHERE c = {i}), {v}{i}) AS {v}{i}" for i in range(k) for v in "xy")
+        ctes.append(f"s{s + 1} AS MATERIALIZED (SELECT {kept} FROM s{s})")
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT c AS cluster, CAST(n AS BIGINT) AS n, x, y FROM m{steps - 1}"
+
+
+ORACLE_SQL["kmeans_fit_from"] = _settled(R.FIT_FROM, 30)
 ORACLE_SQL["kmeans_step"] = (
     f"SELECT prediction AS cluster, count(*) AS n, round(avg(x), 6) AS x, round(avg(y), 6) AS y FROM ({_NEAREST}) GROUP BY prediction"
 )

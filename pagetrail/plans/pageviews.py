@@ -6,15 +6,16 @@ Orders carry tie-breakers so answers are deterministic.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import uuid
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.functions.keys import tab_line
 from pagetrail.functions.time import dtype_of, epoch_seconds, seconds_interval
 from pagetrail.operators.topk import top_k, top_per_group
+from pagetrail.session import checkpoint_dir
 
 # Report sizes of the three top-k answers.
 TOP_IPS = 1000
@@ -27,15 +28,18 @@ def top_url_per_guid_day(log: DataFrame) -> DataFrame:
 
     Columns: guid, timeCreate (the day), path, access_count, rank. Ties go to
     the smaller path. Plan: count per (guid, day, path) (hash aggregation
-    with a map-side partial step), then an arg-max aggregation per
-    (guid, day), also partial before its shuffle — a hot visitor is folded
-    map-side, and no group is buffered whole as a window would.
+    with a map-side partial step), then ``row_number() = 1`` per (guid, day),
+    which a partial WindowGroupLimit cuts to one row per group and task
+    before its shuffle.
     """
     daily = log.select("guid", F.to_date("timeCreate").alias("timeCreate"), "path")
-    counts = daily.groupBy("guid", "timeCreate", "path").agg(F.count(F.lit(1)).alias("access_count"))
-    return top_per_group(
-        counts, ["guid", "timeCreate"], [("access_count", "desc"), ("path", "asc")], n=1, rank_col="rank"
-    ).select("guid", "timeCreate", "path", "access_count", "rank")
+    return _best_url(daily.groupBy("guid", "timeCreate", "path").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _best_url(counts: DataFrame) -> DataFrame:
+    named = counts.select("guid", "timeCreate", "path", F.col("n").alias("access_count"))
+    best = top_per_group(named, ["guid", "timeCreate"], [("access_count", "desc"), ("path", "asc")], n=1, rank_col="rank")
+    return best.select("guid", "timeCreate", "path", "access_count", "rank")
 
 
 def distinct_count(log: DataFrame, key: str, of: str, alias: str) -> DataFrame:
@@ -47,26 +51,38 @@ def distinct_count(log: DataFrame, key: str, of: str, alias: str) -> DataFrame:
     the pairs on ``key`` alone, so a hot address with millions of visitors
     would land in one task.
     """
-    pairs = log.select(key, of).distinct()
+    return _per_key(log.select(key, of).distinct(), key, of, alias)
+
+
+def _per_key(pairs: DataFrame, key: str, of: str, alias: str) -> DataFrame:
     return pairs.groupBy(key).agg(F.count(of).alias(alias))
 
 
+def _top_ips(per_ip: DataFrame, n: int = TOP_IPS) -> DataFrame:
+    return top_k(per_ip, [("guid_count", "desc"), ("ip", "asc")], n)
+
+
 def top_ips_by_guid(log: DataFrame, n: int = TOP_IPS) -> DataFrame:
     """The ``n`` addresses used by the most distinct visitors (ip, guid_count)."""
-    per_ip = distinct_count(log, "ip", "guid", "guid_count")
-    return top_k(per_ip, [("guid_count", "desc"), ("ip", "asc")], n)
+    return _top_ips(distinct_count(log, "ip", "guid", "guid_count"), n)
+
+
+def _top_domains(per_domain: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
+    return top_k(per_domain.select("domain", F.col("n").alias("count")), [("count", "desc"), ("domain", "asc")], n)
 
 
 def top_domains(log: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
     """The ``n`` most visited domains (domain, count)."""
-    per_domain = log.groupBy("domain").agg(F.count(F.lit(1)).alias("count"))
-    return top_k(per_domain, [("count", "desc"), ("domain", "asc")], n)
+    return _top_domains(log.groupBy("domain").agg(F.count(F.lit(1)).alias("n")), n)
+
+
+def _top_locations(per_loc: DataFrame, n: int = TOP_LOCATIONS) -> DataFrame:
+    return top_k(per_loc, [("unique_ip_count", "desc"), ("locId", "asc")], n)
 
 
 def top_locations_by_ip(log: DataFrame, n: int = TOP_LOCATIONS) -> DataFrame:
     """The ``n`` locations with the most distinct addresses (locId, unique_ip_count)."""
-    per_loc = distinct_count(log, "locId", "ip", "unique_ip_count")
-    return top_k(per_loc, [("unique_ip_count", "desc"), ("locId", "asc")], n)
+    return _top_locations(distinct_count(log, "locId", "ip", "unique_ip_count"), n)
 
 
 def top_browser_per_os(log: DataFrame) -> DataFrame:
@@ -74,8 +90,11 @@ def top_browser_per_os(log: DataFrame) -> DataFrame:
 
     Ties go to the smaller browser code; the count itself is not returned.
     """
-    counts = log.groupBy("osCode", "browserCode").agg(F.count(F.lit(1)).alias("count"))
-    best = top_per_group(counts, ["osCode"], [("count", "desc"), ("browserCode", "asc")], n=1)
+    return _best_browser(log.groupBy("osCode", "browserCode").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _best_browser(counts: DataFrame) -> DataFrame:
+    best = top_per_group(counts, ["osCode"], [("n", "desc"), ("browserCode", "asc")], n=1)
     return best.select("osCode", "browserCode", "rank")
 
 
@@ -115,31 +134,60 @@ def gap_export_whole_seconds(log: DataFrame, gap_seconds: int = 600_000, fill_nu
 
 # ------------------------------------------------------ all answers together
 
-# The columns the answers above read; the rest of the log is never cached.
-REPORT_COLUMNS = ["guid", "timeCreate", "cookieCreate", "path", "ip", "domain", "locId", "osCode", "browserCode"]
+# The groups that the five counting answers are made of.
+REPORT_SETS = {
+    "top_url_per_guid_day": ["guid", "timeCreate", "path"],
+    "top_ips_by_guid": ["ip", "guid"],
+    "top_domains": ["domain"],
+    "top_locations_by_ip": ["locId", "ip"],
+    "top_browser_per_os": ["osCode", "browserCode"],
+}
 
 
-@contextmanager
-def shared_log(log: DataFrame):
-    """The log's report columns, cached (spilling to disk) while in use.
+def report_counts(log: DataFrame) -> DataFrame:
+    """Row counts of all groups of ``REPORT_SETS`` in one pass over the log: answer, the group columns and ``n``.
 
-    Several answers over one log then scan the source once; the cache is
-    released on exit. A lost cached block is recomputed from the source.
+    One aggregation by grouping sets, partial before its shuffle, so each
+    group crosses it as one row per task. A column outside an answer's set is null.
     """
-    narrow = log.select(*REPORT_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield narrow
-    finally:
-        narrow.unpersist()
-
-
-def report(log: DataFrame, gap_seconds: float = 600) -> dict[str, DataFrame]:
-    """Every page-view answer over ``log`` (lazy; pass a ``shared_log``)."""
+    columns = list(dict.fromkeys(c for cols in REPORT_SETS.values() for c in cols))
+    daily = log.select(*[F.to_date(c).alias(c) if c == "timeCreate" else c for c in columns])
+    counts = daily.groupingSets([[F.col(c) for c in cols] for cols in REPORT_SETS.values()], *columns)
+    # the grouping id has a bit for each column, set where the column is not grouped by
+    bits = {sum((c not in cols) << (len(columns) - 1 - i) for i, c in enumerate(columns)): name for name, cols in REPORT_SETS.items()}
+    answer = F.coalesce(*[F.when(F.col("__set") == b, F.lit(name)) for b, name in bits.items()])
+    named = counts.agg(F.grouping_id().alias("__set"), F.count(F.lit(1)).alias("n"))
+    return named.select(answer.alias("answer"), *columns, "n")
+
+
+def stored_counts(log: DataFrame) -> DataFrame:
+    """``report_counts`` in the shared folder, a folder per answer; the log is read once, whatever answers are asked."""
+    spark = log.sparkSession
+    counts = report_counts(log)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/report-{uuid.uuid4().hex}"
+    counts.write.partitionBy("answer").parquet(path)
+    return spark.read.schema(counts.schema).parquet(path)
+
+
+def report(counts: DataFrame) -> dict[str, DataFrame]:
+    """The five counting answers from ``stored_counts`` of a log (or ``report_counts``)."""
+    of = {name: counts.where(F.col("answer") == name).select(*cols, "n") for name, cols in REPORT_SETS.items()}
     return {
-        "top_url_per_guid_day": top_url_per_guid_day(log),
-        "top_ips_by_guid": top_ips_by_guid(log),
-        "top_domains": top_domains(log),
-        "top_locations_by_ip": top_locations_by_ip(log),
-        "top_browser_per_os": top_browser_per_os(log),
-        "gap_export": gap_export(log, gap_seconds),
+        "top_url_per_guid_day": _best_url(of["top_url_per_guid_day"]),
+        "top_ips_by_guid": _top_ips(_per_key(of["top_ips_by_guid"], "ip", "guid", "guid_count")),
+        "top_domains": _top_domains(of["top_domains"]),
+        "top_locations_by_ip": _top_locations(_per_key(of["top_locations_by_ip"], "locId", "ip", "unique_ip_count")),
+        "top_browser_per_os": _best_browser(of["top_browser_per_os"]),
     }
+
+
+def report_table(log: DataFrame) -> DataFrame:
+    """All five answers as one table (answer, k1, k2, k3, n): the columns of each as text, and its count or rank."""
+    answers = report(stored_counts(log))
+    rows = []
+    for name, df in answers.items():
+        keys = [c for c in REPORT_SETS[name] if c in df.columns]
+        amount = next(c for c in df.columns if c not in keys)
+        texts = [F.col(k).cast("string") for k in keys] + [F.lit(None).cast("string")] * (3 - len(keys))
+        rows.append(df.select(F.lit(name).alias("answer"), *[t.alias(f"k{i}") for i, t in enumerate(texts, 1)], F.col(amount).cast("long").alias("n")))
+    return reduce(DataFrame.unionByName, rows)

@@ -5,18 +5,19 @@ All writes run on the executors; nothing passes through the driver.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 
-from pagetrail.operators.keyed import keyed_upsert
 from pagetrail.schemas import ROW_KEY
-from pagetrail.session import checkpoint_dir
+from pagetrail.sinks.batches import JsonLines, Puts, put_once
+from pagetrail.sinks.bucketed import bucketed_merge, merge_bucketed, write_bucketed
+from pagetrail.sinks.store import Store, create_store, is_store, merge_store, open_store
 
-# Partition column of a bucketed keyed table; its name ends in the bucket count.
-BUCKET_PREFIX = "key_bucket_of_"
+__all__ = [
+    "JsonLines", "Puts", "Store", "bucketed_merge", "create_store", "for_each_batch_of_rows", "is_store", "merge_bucketed", "merge_store",
+    "open_store", "put_once", "read_keyed_table", "write_bucketed", "write_jdbc", "write_keyed_table", "write_parquet", "write_text",
+]
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
@@ -37,89 +38,22 @@ def write_text(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).text(path)
 
 
-def write_keyed_table(
-    df: DataFrame,
-    path: str,
-    key: str = ROW_KEY,
-    num_partitions: int | None = None,
-    mode: str = "overwrite",
-    buckets: int | None = None,
-) -> None:
+def write_keyed_table(df: DataFrame, path: str, key: str = ROW_KEY, num_partitions: int | None = None, mode: str = "overwrite") -> None:
     """Store a keyed table as Parquet, range-partitioned and sorted by key.
 
     Each file then covers one key range and each row group a narrower one,
     so ``range_scan``/``multi_get`` filters on the key skip files and row
-    groups by their min/max statistics.
-
-    With ``buckets`` the table is a folder per hash bucket of the key, which
-    ``merge_keyed_table`` can rewrite one by one; choose the count so that a
-    bucket holds about a gigabyte. Within a bucket files are key ranges, so a
-    bucket that has become large is still written by several tasks.
+    groups by their min/max statistics. A table to be merged into is a store
+    (``create_store``).
     """
     parts = int(num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if buckets:
-        _write_buckets(df, path, key, buckets, parts, mode)
-        return
     out = df.repartitionByRange(parts, key).sortWithinPartitions(key)
     out.write.mode(mode).parquet(path)
 
 
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
-def _write_buckets(df: DataFrame, path: str, key: str, buckets: int, parts: int, mode: str, replace: str = "static") -> None:
-    name = f"{BUCKET_PREFIX}{buckets}"
-    out = df.withColumn(name, _bucket(key, buckets)).repartitionByRange(parts, name, key).sortWithinPartitions(name, key)
-    out.write.mode(mode).option("partitionOverwriteMode", replace).partitionBy(name).parquet(path)
-
-
 def read_keyed_table(spark: SparkSession, path: str) -> DataFrame:
-    """A stored keyed table, without the bucket column if it has one.
-
-    Buckets may have been written with different cells, so the schemas of all
-    files are merged (Spark reads the footers in parallel).
-    """
-    table = spark.read.option("mergeSchema", "true").parquet(path)
-    return table.drop(*[c for c in table.columns if c.startswith(BUCKET_PREFIX)])
-
-
-def merge_keyed_table(batch: DataFrame, path: str, key: str = ROW_KEY, num_partitions: int | None = None) -> int:
-    """Merge a keyed batch into the bucketed table at ``path``; returns how many buckets were rewritten.
-
-    ``batch`` is unique on the key (what the ``load_*`` functions return).
-    Its non-null cells replace stored ones, other cells stay, and cells new to
-    the table start as null in the rows of other buckets. Only buckets that
-    hold a key of the batch are read and replaced; the files of the others are
-    not touched. The bucket numbers (at most as many as there are buckets) are
-    all that reaches the driver.
-
-    Batch and merged rows are written to the shared folder first, so that the
-    batch is evaluated once and no file is read while it is replaced. A merge
-    that is cut short in its last step is mended by running it again: puts of
-    the same cells give the same table. One merge of a table may run at a time.
-    """
-    spark = batch.sparkSession
-    table = spark.read.option("mergeSchema", "true").parquet(path)
-    name = next((c for c in table.columns if c.startswith(BUCKET_PREFIX)), None)
-    if name is None:
-        raise ValueError("the table was written without buckets")
-    buckets = int(name.removeprefix(BUCKET_PREFIX))
-    parts = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
-    stage = f"{checkpoint_dir(spark).rstrip('/')}/keyed-merge-{uuid.uuid4().hex}"
-    puts = batch.where(F.col(key).isNotNull()).withColumn(key, F.col(key).cast(table.schema[key].dataType))
-    puts.write.parquet(f"{stage}/puts")
-    puts = spark.read.schema(puts.schema).parquet(f"{stage}/puts")
-    touched = [r[0] for r in puts.select(_bucket(key, buckets)).distinct().collect()]
-    if not touched:
-        return 0
-    cells = [c for c in puts.columns if c != key]
-    target = table.where(F.col(name).isin(touched)).drop(name)
-    merged = keyed_upsert(puts, cells, cells, key=key, target=target)
-    merged.write.parquet(f"{stage}/merged")
-    merged = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
-    _write_buckets(merged, path, key, buckets, parts, "overwrite", "dynamic")
-    return len(touched)
+    """A stored keyed table: the last version of a store, or a Parquet folder."""
+    return open_store(spark, path).read() if is_store(spark, path) else spark.read.parquet(path)
 
 
 def write_jdbc(
@@ -155,7 +89,8 @@ def for_each_batch_of_rows(
 
     For external stores without a Spark connector: the function (and any
     client it opens) runs on the executors, once per partition, and a
-    failed task is retried, so ``handle`` must be idempotent (a keyed put is).
+    failed task is retried, so ``handle`` must be idempotent (a keyed put is);
+    where it is not, see ``put_once``.
     """
 
     def per_partition(rows: Iterator[Row]) -> None:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagetrail.schemas import PAGEVIEW_SCHEMA
 
@@ -42,14 +43,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(ddl).parquet(path) if ddl else spark.read.parquet(path)
 
 
-def read_pageview_tsv(spark: SparkSession, path: str) -> DataFrame:
+#: Column of the raw line where a field of it does not parse.
+BAD_LINE = "bad_line"
+
+
+def read_pageview_tsv(spark: SparkSession, path: str, keep_bad_lines: bool = False) -> DataFrame:
     """Header-less tab-separated page-view log with the declared schema.
 
     Permissive mode: a field that does not parse (bad timestamp or number)
-    becomes null and the row is kept.
+    becomes null and the row is kept; with ``keep_bad_lines`` it has the raw line
+    in the column ``bad_line``.
     """
+    schema = PAGEVIEW_SCHEMA.fields + [T.StructField(BAD_LINE, T.StringType())] * keep_bad_lines
     return (
-        spark.read.schema(PAGEVIEW_SCHEMA)
+        spark.read.schema(T.StructType(schema))
+        .option("columnNameOfCorruptRecord", BAD_LINE)
         .option("sep", "\t")
         .option("header", "false")
         .option("mode", "PERMISSIVE")

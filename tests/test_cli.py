@@ -6,6 +6,7 @@ from helpers import pv_rows, view
 from pagetrail import sinks
 from pagetrail.cli import parser, run
 from pagetrail.plans import fixtures, workforce
+from pagetrail.schemas import PAGEVIEW_COLUMNS
 
 
 def _run(spark, *argv):
@@ -34,13 +35,13 @@ def test_pageview_commands_end_to_end(spark, tmp_dir):
     assert [r.value for r in spark.read.text(export).collect()] == ["3\tx.com\t/a\t2024-01-05 10:20:00"]
 
 
-def test_load_pageviews_merges_into_its_buckets(spark, tmp_dir):
+def test_load_pageviews_merges_into_its_store(spark, tmp_dir):
     logs = [os.path.join(tmp_dir, f"log{i}") for i in range(2)]
     for i, log in enumerate(logs):
         views = [view(3, "2024-01-05 10:20:00", cookie="2024-01-05 10:00:00", ip=7 + i), view(4, f"2024-01-0{6 + i} 10:20:00", cookie=f"2024-01-0{6 + i} 10:00:00")]
         pv_rows(spark, views).drop("event_id").write.parquet(log)
     table = os.path.join(tmp_dir, "kv")
-    _run(spark, "load-pageviews", "--log", logs[0], "--table", table, "--buckets", "4")
+    _run(spark, "load-pageviews", "--log", logs[0], "--table", table, "--ranges", "2")
     _run(spark, "load-pageviews", "--log", logs[1], "--table", table, "--merge")
     got = sinks.read_keyed_table(spark, table)
     assert sorted((r.guid, r.ip) for r in got.collect()) == [(3, 8), (4, 1), (4, 1)]
@@ -120,7 +121,7 @@ def test_every_other_command_runs(spark, tmp_dir, capsys):
     assert "guid" in capsys.readouterr().out
 
 
-def test_report_writes_every_answer_from_one_cached_scan(spark, tmp_dir):
+def test_report_writes_every_answer(spark, tmp_dir):
     from pagetrail.plans import pageviews
 
     log = os.path.join(tmp_dir, "log")
@@ -131,10 +132,36 @@ def test_report_writes_every_answer_from_one_cached_scan(spark, tmp_dir):
     out = os.path.join(tmp_dir, "report")
     _run(spark, "report", "--log", log, "--out", out)
     src = spark.read.parquet(log)
-    for name, df in pageviews.report(src).items():
-        if name == "gap_export":
-            got = sorted(r.value for r in spark.read.text(os.path.join(out, "result.dat")).collect())
-            assert got == sorted(r.concatenated for r in df.collect()) and len(got) == 7
-        else:
-            assert sorted(spark.read.parquet(os.path.join(out, name)).collect()) == sorted(df.collect())
-    assert not spark.sparkContext._jsc.getPersistentRDDs()  # cache released
+    answers = [pageviews.top_url_per_guid_day, pageviews.top_ips_by_guid, pageviews.top_domains, pageviews.top_locations_by_ip, pageviews.top_browser_per_os]
+    for name, answer in zip(pageviews.REPORT_SETS, answers, strict=True):
+        assert sorted(spark.read.parquet(os.path.join(out, name)).collect()) == sorted(answer(src).collect())
+    assert len(spark.read.text(os.path.join(out, "result.dat")).collect()) == 7
+
+
+def test_tsv_with_quarantine(spark, tmp_dir, capsys):
+    tsv, good, bad = (os.path.join(tmp_dir, n) for n in ("log.tsv", "good", "bad"))
+    line = lambda time, cookie: "\t".join([time, cookie] + ["1"] * 18)
+    lines = [line("2024-01-05 10:20:00", "2024-01-05 10:00:00"), line("no time", "2024-01-05 10:00:00"), line("2024-01-05 10:20:00", ""), "short\tline"]
+    with open(tsv, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    _run(spark, "tsv-to-parquet", "--src", tsv, "--dst", good, "--quarantine", bad)
+    assert sorted(r.value for r in spark.read.text(bad).collect()) == sorted([lines[1], lines[3]])
+    rows = spark.read.parquet(good)
+    assert rows.count() == 2 and rows.columns == PAGEVIEW_COLUMNS
+    assert [x.split("\t") for x in capsys.readouterr().out.split("\n") if "\t" in x] == [["read", "4"], ["rejected", "2"], ["without_key", "1"]]
+
+
+def test_load_workforce_merges_into_its_stores(spark, tmp_dir):
+    sf, tables, keyed = "/root/testdata/sf0.001", os.path.join(tmp_dir, "tables"), os.path.join(tmp_dir, "keyed")
+    for name in ["dept_emp", "employees", "departments", "dept_manager", "salaries", "titles"]:
+        df = getattr(fixtures, name)(spark, sf)
+        sinks.write_parquet(df, os.path.join(tables, name))
+        sinks.write_parquet(df.where("emp_no % 3 = 0") if "emp_no" in df.columns else df, os.path.join(tables + "-part", name))
+    _run(spark, "load-workforce", "--tables", tables + "-part", "--keyed", keyed, "--ranges", "4")
+    _run(spark, "load-workforce", "--tables", tables, "--keyed", keyed, "--merge")
+    whole = os.path.join(tmp_dir, "whole")
+    _run(spark, "load-workforce", "--tables", tables, "--keyed", whole)
+    for name in ("dept_emp", "salaries", "titles"):
+        got, want = (sinks.read_keyed_table(spark, os.path.join(d, name)) for d in (keyed, whole))
+        assert sinks.open_store(spark, os.path.join(keyed, name)).version == 2
+        assert sorted(map(str, got.select(sorted(want.columns)).collect())) == sorted(map(str, want.select(sorted(want.columns)).collect()))

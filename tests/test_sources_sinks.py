@@ -79,40 +79,6 @@ def test_keyed_table_written_sorted_and_range_read(spark, tmp_dir):
     assert "GreaterThanOrEqual(row_key,k0100)" in plan and "LessThan(row_key,k0105)" in plan
 
 
-def _files(path):
-    return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part-")}
-
-
-def test_merge_rewrites_touched_buckets_only(spark, tmp_dir):
-    out = os.path.join(tmp_dir, "store")
-    df = spark.createDataFrame([(f"k{i:04d}", i, i) for i in range(1000)], "row_key string, a int, b int")
-    sinks.write_keyed_table(df, out, num_partitions=4, buckets=32)
-    before = _files(out)
-    # a stored row loses a to the batch and keeps b; one key is new, one cell is new, a null key is not stored
-    batch = spark.createDataFrame([("k0007", -1, None, "x"), ("new", 5, 6, None), (None, 1, 1, "z")], "row_key string, a int, b int, c string")
-    touched = sinks.merge_keyed_table(batch, out)
-    after = _files(out)
-    folders = {os.path.dirname(f) for f in after}
-    assert touched <= 2 and len(folders) == 32
-    assert {f for f in before if f not in after} <= {f for f in before if os.path.dirname(f) in {os.path.dirname(x) for x in after - before}}
-    assert len({os.path.dirname(f) for f in before & after}) == 32 - touched  # untouched files keep their names
-    read = lambda: {r.row_key: (r.a, r.b, r.c) for r in sinks.read_keyed_table(spark, out).collect()}
-    got = read()
-    want = {f"k{i:04d}": (i, i, None) for i in range(1000)} | {"k0007": (-1, 7, "x"), "new": (5, 6, None)}
-    assert got == want
-    assert sinks.merge_keyed_table(batch.limit(0), out) == 0 and _files(out) == after  # an empty batch changes nothing
-    sinks.merge_keyed_table(batch, out)  # a repeated merge gives the same table
-    assert read() == want
-
-
-def test_merge_needs_buckets(spark, tmp_dir):
-    out = os.path.join(tmp_dir, "plain")
-    df = spark.createDataFrame([("k", 1)], "row_key string, a int")
-    sinks.write_keyed_table(df, out)
-    with pytest.raises(ValueError):
-        sinks.merge_keyed_table(df, out)
-
-
 def test_for_each_batch_of_rows_sizes(spark, tmp_dir):
     df = spark.range(0, 250, numPartitions=1)
     marker = os.path.join(tmp_dir, "batches")

@@ -149,6 +149,76 @@ def test_archives_of_odd_pages(spark, tmp_path):
     )
     assert [bytes(r.payload) for r in back if r.record_id == "<urn:page:1>"] == [same.encode()]
     warc.write_archives(warc.with_revisits(pages.limit(0)), str(tmp_path / "e"))
+    assert warc.read_archives(spark, str(tmp_path / "e")).collect() == []
+
+
+class CountingTape(warc.Tape):
+    """Counts the bytes read, and the most that is held."""
+
+    def __init__(self, data, chunk):
+        super().__init__((data[i : i + chunk] for i in range(0, len(data), chunk)), len(data))
+        self.read = self.most = 0
+
+    def get(self, a, b):
+        out = super().get(a, b)
+        self.read += len(out)
+        self.most = max(self.most, len(self.held))
+        return out
+
+
+@pytest.mark.parametrize("kind", ["members", "broken members", "plain", "broken plain", "junk marks"])
+def test_salvage_is_linear_and_streams(kind):
+    rng = random.Random(3)
+    made = [warc.record(i, f"http://h/{i}", p := rng.randbytes(1500) + b"text " * 200, hashlib.sha256(p).hexdigest(), None, False) for i in range(1200)]
+
+    def archive(n):
+        if kind == "junk marks":
+            return (b"WARC/1.0 \x1f\x8b\x08 " * 30 + b"WARC/1.1\r\nno end of it ") * n
+        parts = [bytearray(r if "plain" in kind else warc.gzip_member(r)) for r in made[:n]]
+        for part in parts if "broken" in kind else []:
+            part[len(part) // 2] ^= 0x55
+        return b"".join(parts)
+
+    reads = []
+    for n in (300, 1200):
+        data = archive(n)
+        tape = CountingTape(data, 5000)
+        found = list(warc.salvage(tape))
+        assert found == list(warc.salvage(data))
+        assert sum(f[0] == "record" for f in found) == (n if kind in ("members", "plain") else 0)
+        reads.append(tape.read / len(data))
+        assert tape.most < warc.MAX_HEAD + 3 * warc.STEP
+    assert reads[1] < 1.2 * reads[0] + 0.1 and reads[1] < 12
+
+
+def test_salvage_bounds_what_a_wrong_length_makes_it_hold(monkeypatch):
+    monkeypatch.setattr(warc, "MAX_CONTENT", 5000)
+    big, small = b"x" * 9000, b"y" * 100
+    record = lambda i, p: warc.record(i, "u", p, hashlib.sha256(p).hexdigest(), None, False)
+    for data in (record(0, big) + record(1, small), warc.gzip_member(record(0, big)) + warc.gzip_member(record(1, small))):
+        found = list(warc.salvage(data))
+        assert [f[0] for f in found] == ["gap", "record"] and "more than 5000 bytes" in found[0][3]
+    wrong = record(0, small).replace(b"\nContent-Length: ", b"\nContent-Length: 99", 1)
+    assert [f[0] for f in warc.salvage(wrong + record(1, small))] == ["gap", "record"]
+
+
+def test_archives_are_streamed_from_splits(spark, tmp_path):
+    rng = random.Random(11)
+    made = [warc.record(i, f"http://h/{i}", p := rng.randbytes(rng.randint(0, 4000)) + b"\r\n\n" * 9, hashlib.sha256(p).hexdigest(), None, False) for i in range(120)]
+    members = [warc.gzip_member(r) if i % 3 else r for i, r in enumerate(made)]
+    files = {"a.warc": b"".join(members[:70]) + b"\n", "b.warc": b"junk\n" + b"".join(members[70:]) + b"junk", "c.warc": b"", "d.warc": b"\n", "e.warc.gz": members[1]}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = warc.read_archives(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = {name: [(r.start, r.end, r.reason, r.payload_digest) for r in rows if r.file.endswith("/" + name)] for name in files}
+    for name, data in files.items():
+        want = [(a, b, what if kind == "gap" else None, None if kind == "gap" else hashlib.sha256(what[1].partition(b"\r\n\r\n")[2]).hexdigest()) for kind, a, b, what in warc.salvage(data)]
+        assert got[name] == want
 
 
 # -------------------------------------------------------------- embeddings

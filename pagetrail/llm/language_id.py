@@ -14,12 +14,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm.shared import first_rows, mix64, table, text_slices
+from pagetrail.llm.shared import excerpt, mix64, sampled, table, text_slices
 
 BUCKETS = 1 << 13
 CENTROIDS = 3
 #: The fit uses at most so many rows of each language, those with the least hash of their id.
 SAMPLE_ROWS = 250
+#: Of each it uses at most so many code points, spread evenly over the text.
+SAMPLE_CHARS = 1 << 14
+#: A table with more different languages has labels that name none.
+MAX_LANGUAGES = 500
 #: A text is rejected below this share of the least cosine that sample texts of its length have.
 REJECT_SHARE = 0.6
 UNKNOWN = "und"
@@ -133,12 +137,15 @@ def fit(labelled: DataFrame) -> Model:
     """Model of rows (text, lang, id); the bounded sample is ``SAMPLE_ROWS`` rows of each language.
 
     Rows without text or language are left out. The rows of a language are
-    taken by the hash of their id, then their text, so the sample is the same
-    at each run.
+    taken by the hash of their id, then of their text, so the sample is the
+    same at each run; equal rows count once. Of a long text ``SAMPLE_CHARS``
+    code points are used. More than ``MAX_LANGUAGES`` different languages are an error.
     """
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang", F.xxhash64("id").alias("h"))
-    ranked = first_rows(rows, "lang", ["h", "text"], SAMPLE_ROWS).orderBy("lang", "r")
-    return Model([(r.text, r.lang) for r in ranked.collect()])
+    if rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"the labelled rows have more than {MAX_LANGUAGES} different languages")
+    few = sampled(rows, "lang", SAMPLE_ROWS).groupBy("lang", "r").agg(F.min(excerpt(F.col("text"), SAMPLE_CHARS)).alias("text"))
+    return Model([(r.text, r.lang) for r in few.orderBy("lang", "r").collect()])
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -185,6 +192,7 @@ def trainable(docs: DataFrame) -> DataFrame:
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, and whether it is too far from all languages (``rejected``)."""
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
-    return identify(docs, fit(trainable(docs)), ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return identify(docs, fit(trainable(docs)), ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")

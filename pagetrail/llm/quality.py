@@ -15,13 +15,15 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm.shared import table
+from pagetrail.llm.shared import excerpt, table
 
 #: Labelled rows used of each label at most: those with the least hash of their id.
 SAMPLE_ROWS = 1200
 #: Every third sampled row calibrates, the others build the dictionaries.
 CALIBRATE_EACH = 3
-DICTIONARY_BYTES = 96 << 10
+DICTIONARY_BYTES, RUN_BYTES = 192 << 10, 120
+#: Of a sampled text at most so many code points are used, spread evenly over it.
+SAMPLE_CHARS = 1 << 14
 PIECE_BYTES, LEVEL = 1024, 9
 THRESHOLD = 0.3
 
@@ -33,20 +35,27 @@ def pieces_of(text: str) -> list[bytes]:
 
 
 def dictionary(texts: list[str]) -> bytes:
-    """Dictionary content: pieces of all texts in turn, up to its size.
+    """Dictionary content of ``DICTIONARY_BYTES`` at most: an equal share of every text, from pieces spread over its length.
 
-    Texts that come first (their order is by hash) give their first piece
-    first, so that each text has a share.
+    What short texts leave of their shares goes to the others.
     """
-    cut = [pieces_of(t) for t in texts]
-    chosen, size, depth = [], 0, 0
-    while size < DICTIONARY_BYTES and any(len(c) > depth for c in cut):
-        for c in cut:
-            if len(c) > depth and size < DICTIONARY_BYTES:
-                chosen.append(c[depth][:512])
-                size += len(chosen[-1])
-        depth += 1
-    return b"".join(chosen)[:DICTIONARY_BYTES]
+    raws = sorted((t.encode("utf-8", "replace") for t in texts if t), key=len)
+    left, chosen = DICTIONARY_BYTES, []
+    for i, raw in enumerate(raws):  # from the shortest on
+        share = left // (len(raws) - i)
+        chosen.append(spread(raw, share))
+        left -= len(chosen[-1])
+    return b"".join(chosen)
+
+
+def spread(raw: bytes, share: int) -> bytes:
+    """``share`` bytes of ``raw`` in runs of about ``RUN_BYTES``, spread evenly from its start to its end."""
+    if len(raw) <= share:
+        return raw
+    runs = max(1, share // RUN_BYTES)
+    size = share // runs
+    starts = [round(k * (len(raw) - size) / max(1, runs - 1)) for k in range(runs)] if runs > 1 else [(len(raw) - size) // 2]
+    return b"".join(raw[a : a + size] for a in starts)
 
 
 class Scorer:
@@ -118,7 +127,8 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[str]]:
 
     Ids with both labels, null ids and null labels are left out. The ids are
     taken from the labels alone, so the join is with a bounded table, which
-    goes to every worker.
+    goes to every worker. An id is one text (of several that with the least
+    hash), of which ``SAMPLE_CHARS`` code points are used at most.
     """
     spark = docs.sparkSession
     clean = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("q2"))
@@ -127,8 +137,10 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[str]]:
     if not ids:
         return [], []
     few = spark.createDataFrame([(r.doc_id, r.q, r.h) for r in ids], "doc_id long, q int, h long")
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL").join(F.broadcast(few), "doc_id")
-    rows = sorted((r.h, r.doc_id, r.text, r.q) for r in found.select("h", "doc_id", "text", "q").collect())
+    text = excerpt(F.col("text"), SAMPLE_CHARS)
+    found = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64("text").alias("t"))
+    found = found.join(F.broadcast(few), "doc_id").groupBy("doc_id", "h", "q").agg(F.min_by("text", "t").alias("text"))
+    rows = sorted((r.h, r.doc_id, r.text, r.q) for r in found.collect())
     return [r[2] for r in rows if r[3] == 1], [r[2] for r in rows if r[3] == 0]
 
 
@@ -146,6 +158,7 @@ def scored(docs: DataFrame, scorer: Scorer, keep: list[str], text_col: str = "te
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and predicted label of every document, learned from labelled rows outside the held-out fifth."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     bucket = F.crc32(F.col("doc_id").cast("string")) % 5
     scorer = fit(*sample(docs, labels.where(bucket != 0)))

@@ -3,12 +3,14 @@
 The field tags tokens as secret begin, inside or outside, from the token's
 shape, the words around it and features of the whole text, and is decoded by
 Viterbi. It is trained here, on windows of a bounded sample of documents that
-the base patterns label.
+the base patterns label, and on variants of them under other names and in
+other alphabets, so that it finds secrets that the patterns miss.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -17,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm.shared import first_rows, table, text_slices
+from pagetrail.llm.shared import sampled, ship, table, text_slices
 
 #: The base patterns (fixed values) and what a match needs to count.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -29,8 +31,14 @@ MAY_MATCH = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA
 
 #: Training: texts with and without base matches (each, at most), windows of each text, tokens of a window, rounds.
 SAMPLE_TEXTS, WINDOWS, WINDOW, ROUNDS = 600, 3, 24, 60
+#: So many variants are made of each kind: masked and planted, with secrets and with harmless values.
+VARIANTS = 600
+#: How often a token's own word and those around it are seen in training.
+SEEN = {"own": 0.5, "before": 0.2, "second": 0.05, "after": 0.05}
+#: What a missed secret token costs in training, in units of score.
+MISS_COST = 3.0
 #: A span of the field has at least so many code points and so much score above being outside.
-MIN_SPAN, MARGIN = 8, 2.0
+MIN_SPAN, MARGIN = 8, 1.0
 
 TOKEN = re.compile(r"\s*(?:[\w+/.\-]+|[^\w\s+/.\-]+)")
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
@@ -67,11 +75,12 @@ def token_features(token: str) -> tuple[int, int, int]:
     else:
         kind = 8 if t == t.lower() or t == t.upper() else 9
     variety = min(3, 8 * len(set(t)) // n // 2) if n >= 8 else 0
-    word = xxhash.xxh32_intdigest(t.lower()) % LEXICAL if n <= 24 else length
+    # Words and marks are known by themselves; a made-up string, new each time, by its length alone.
+    word = xxhash.xxh32_intdigest(t.lower()) % (LEXICAL - 8) if n <= 24 and kind in (0, 1, 2, 5) else LEXICAL - 8 + length
     return word, LEXICAL + kind * 8 + length, LEXICAL + 80 + kind * 4 + variety
 
 
-def file_feature(text: str, tokens: int) -> int:
+def file_feature(text: str) -> int:
     """Bucket of the whole text: share of digits and of marks among its characters."""
     n = max(len(text), 1)
     digits = sum(map(text.count, "0123456789")) / n
@@ -92,7 +101,10 @@ class Field:
         self.trained = False
 
     def train(self, feats: np.ndarray, labels: np.ndarray, files: np.ndarray) -> None:
-        """Maximise the conditional likelihood of ``labels`` (-1: padding) by Adagrad.
+        """Maximise the conditional likelihood of ``labels`` (-1: padding) by Adagrad, with a softmax margin.
+
+        Secret tokens must win against being outside by ``MISS_COST``, as they are
+        few among many, and a missed secret is worse than a word too many.
 
         ``feats`` is windows x tokens x 3. Forward and backward sums run over
         all windows at once.
@@ -104,9 +116,12 @@ class Field:
             moved = np.roll(feats, by, axis=1)
             moved[:, (range(by) if by > 0 else [length - 1])] = -1
             shifted[name] = moved
+        rng = np.random.default_rng(n)
         for name, f in shifted.items():
             f = f.copy()
             f[~real] = -1
+            # words are hidden half of the time, and those around a token more often, so that shapes are learnt for words never seen too
+            f[:, :, 0] = np.where(rng.random(labels.shape) < SEEN[name], f[:, :, 0], -1)
             if name != "own":
                 f[:, :, 2] = -1
             shifted[name] = f
@@ -117,8 +132,10 @@ class Field:
         sum_files, sum_moves = np.full_like(self.files, 1e-8), np.full_like(self.moves, 1e-8)
         pairs = real[:, 1:] & real[:, :-1]
         true_moves = np.einsum("nta,ntb->ab", truth[:, :-1] * pairs[..., None], truth[:, 1:])
+        cost = np.zeros((n, length, 3))
+        cost[..., OUTSIDE] = MISS_COST * (1 - truth[..., OUTSIDE]) * real
         for _ in range(ROUNDS):
-            e = np.repeat(self.files[files][:, None, :], length, axis=1)
+            e = np.repeat(self.files[files][:, None, :], length, axis=1) + cost
             for name, f in shifted.items():
                 weights = np.vstack([self.tables[name], np.zeros((1, 3))])
                 for i in range(3):
@@ -207,7 +224,7 @@ class Tagger:
         e[2:] += second[r[:-2]]
         e[:-1] += after[r[1:]]
         sizes = np.array([len(x) + 2 for x in tokens])
-        files = np.array([file_feature(t, len(x)) for t, x in zip(texts, tokens, strict=True)])
+        files = np.array([file_feature(t) for t in texts])
         e[2:] += np.repeat(self.field.files[files], sizes, axis=0)
         # Outside for certain: no path can win by another tag here. Viterbi runs over what is between.
         open_ = (np.maximum(e[:, BEGIN], e[:, INSIDE]) + self.slack >= e[:, OUTSIDE]) & (r > 0)
@@ -283,40 +300,121 @@ def windows_of(text: str) -> list[tuple[list[str], list[int], int]]:
             labels[i] = BEGIN
             hits.append(i)
     places = [max(0, i - WINDOW // 2) for i in hits[:WINDOWS]] + [xxhash.xxh32_intdigest(text) % len(tokens)]
-    bucket = file_feature(text, len(tokens))
+    bucket = file_feature(text)
     return [([t.lstrip()[:200] for t in tokens[p : p + WINDOW]], labels[p : p + WINDOW].tolist(), bucket) for p in places]
 
 
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+#: Alphabets of made-up secrets: none of them is that of one base pattern alone.
+ALPHABETS = [LOWER + UPPER + DIGITS, LOWER + UPPER + DIGITS, LOWER + DIGITS, UPPER + DIGITS, LOWER + UPPER + DIGITS + "+/", LOWER + UPPER + DIGITS + "_-", "ABCDEF" + DIGITS, "abcdef" + DIGITS]
+
+
+def _word(rng: random.Random, alphabet: str, low: int, high: int) -> str:
+    return "".join(rng.choices(alphabet, k=rng.randint(low, high)))
+
+
+#: What may stand between a name and a value, and after the value, as tokens.
+MARKS = [(("=",), ()), ((":",), ()), (("=", '"'), ('"',)), ((":", '"'), ('"',)), (('="',), ('"',)), (("='",), ("'",)), (("is",), ()), ((), ()), ((), ())]
+
+
+def made_up(rng: random.Random, secret: bool) -> str:
+    """A secret in one of ``ALPHABETS``, or something harmless: a word, a number, an address or a date."""
+    if secret:
+        value = _word(rng, rng.choice(ALPHABETS), 12, 48)
+        return value if any(map(str.isdecimal, value)) else value + rng.choice(DIGITS)
+    word = lambda: _word(rng, LOWER, 2, 14)
+    number = lambda n: _word(rng, DIGITS, 1, n)
+    harmless = [
+        word(), word().title(), word().upper(), number(12), f"{word()}.{word()}.{word()}", f"{word()}-{word()}", f"{word()}{number(3)}",
+        f"{number(4)}-{number(2)}-{number(2)}", f"{number(3)}.{number(3)}.{number(3)}", f"/{word()}/{word()}/{number(5)}", f"{word()}_{word()}",
+    ]
+    return rng.choice(harmless)
+
+
+def _assigned(rng: random.Random, words: list[str], secret: bool, named: bool = True) -> tuple[list[tuple[str, int]], tuple[str, ...]]:
+    """Tokens and labels of a name, marks and a made-up value, and the marks that close it.
+
+    The name is made of words of the sample, which stand elsewhere in it too: a word
+    that were only ever seen before secrets would be taken for a sign of them.
+    """
+    before, after = rng.choice(MARKS)
+    name = rng.choice(words)
+    names = [name, name, name.upper(), f"{name}_{rng.choice(words)}", f"{name}-{rng.choice(words)}"]
+    head = [(rng.choice(names), OUTSIDE)] if named else []
+    return [*head, *[(mark, OUTSIDE) for mark in before], (made_up(rng, secret), BEGIN if secret else OUTSIDE)], after
+
+
+def masked(tokens: list[str], labels: list[int], rng: random.Random, words: list[str], secret: bool) -> tuple[list[str], list[int]]:
+    """A window with its secrets, and the names and marks around them, replaced by made-up ones, so that the patterns are not learnt by heart."""
+    out: list[tuple[str, int]] = []
+    after: tuple[str, ...] | None = None
+    for token, label in zip(tokens, labels, strict=True):
+        if label == BEGIN:
+            while out and not any(map(str.isalnum, out[-1][0])):
+                out.pop()
+            found, after = _assigned(rng, words, secret, named=bool(out))
+            out[-1:] = found
+        elif label == OUTSIDE:
+            if after is None or any(map(str.isalnum, token)):
+                out.append((token, label))
+            else:  # what has closed the value
+                out += [(mark, label) for mark in after]
+            after = None
+    return [t for t, _ in out[:WINDOW]], [x for _, x in out[:WINDOW]]
+
+
+def planted(tokens: list[str], labels: list[int], rng: random.Random, words: list[str], secret: bool) -> tuple[list[str], list[int]]:
+    """A window with a made-up name and value put in between two of its tokens: any words may stand around a secret."""
+    at = rng.randint(0, min(len(tokens), WINDOW - 6))
+    found, after = _assigned(rng, words, secret, named=rng.random() < 0.8)
+    rest = list(zip(tokens, labels, strict=True))
+    if at < len(rest) and rest[at][1] == INSIDE:  # not into a secret
+        at = 0
+    out = [*rest[:at], *found, *[(mark, OUTSIDE) for mark in after], *rest[at:]][:WINDOW]
+    return [t for t, _ in out], [x for _, x in out]
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """A field trained on windows of ``SAMPLE_TEXTS`` texts with and as many without base matches.
 
-    They are those with the least hash of their id, then by text, so the
-    sample is the same at each run. Without any secret the field stays
-    untrained and tags nothing.
+    They are those with the least hash of their id, then of their text, so the
+    sample is the same at each run; equal rows count once. Only windows leave the
+    tasks. Those with secrets are varied, with made-up secrets and with harmless
+    values. Without any secret the field stays untrained and tags nothing.
     """
+    ship(docs.sparkSession)
     hit = F.col("text").rlike(MAY_MATCH)
     rows = docs.where(F.length(text_col) > 0).select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("text")).withColumn("hit", hit)
-    few = first_rows(rows, "hit", ["h", "text"], SAMPLE_TEXTS).select("hit", "r", "text")
 
     def cut(batches):
         for batch in batches:
             for h, r, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 got = windows_of(t)
                 if got:
-                    columns = [[h] * len(got), [r] * len(got), *map(list, zip(*got, strict=True))]
-                    kinds = [pa.bool_(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["hit", "r", "tokens", "labels", "file"])
+                    columns = [[h] * len(got), [r] * len(got), list(range(len(got))), *map(list, zip(*got, strict=True))]
+                    kinds = [pa.bool_(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["hit", "r", "w", "tokens", "labels", "file"])
 
-    got = few.mapInArrow(cut, "hit boolean, r int, tokens array<string>, labels array<int>, file int").collect()
-    got.sort(key=lambda w: (w.hit, w.r))
+    few = sampled(rows, "hit", SAMPLE_TEXTS).select("hit", "r", "text")
+    windows = few.mapInArrow(cut, "hit boolean, r int, w int, tokens array<string>, labels array<int>, file int").dropDuplicates(["hit", "r", "w"])
+    got = [(w.tokens, w.labels, w.file) for w in sorted(windows.collect(), key=lambda w: (w.hit, w.r, w.w))]
     field = Field()
-    if any(BEGIN in w.labels for w in got):
+    hits = [w for w in got if BEGIN in w[1]]
+    if hits:
+        rng = random.Random(VARIANTS)
+        words = [t for tokens, _, _ in got for t in tokens if t.isalpha()] or ["name"]
+        got += [
+            (*vary(*chosen[k % len(chosen)][:2], rng, words, secret), chosen[k % len(chosen)][2])
+            for vary, chosen in ((masked, hits), (planted, list(got)))
+            for secret in (True, False)
+            for k in range(VARIANTS)
+        ]
         feats = np.zeros((len(got), WINDOW, 3), int)
         labels = np.full((len(got), WINDOW), -1)
-        for i, w in enumerate(got):
-            feats[i, : len(w.tokens)] = [token_features(t) for t in w.tokens]
-            labels[i, : len(w.tokens)] = w.labels
-        field.train(feats, labels, np.array([w.file for w in got]))
+        for i, (tokens, tags, _) in enumerate(got):
+            feats[i, : len(tokens)] = [token_features(t) for t in tokens]
+            labels[i, : len(tokens)] = tags
+        field.train(feats, labels, np.array([file for _, _, file in got]))
     return field
 
 
@@ -388,5 +486,6 @@ def without(text: str, spans: list[tuple[int, int, int]], mark: str) -> str:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base matches of every document, and spans that the field adds."""
     docs = table(spark, sf_dir, "documents")
     return scan(docs, fit(docs), ["doc_id"])

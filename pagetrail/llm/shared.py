@@ -10,7 +10,7 @@ import weakref
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -63,22 +63,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Groups of scan partitions whose first rows are picked before the last pick.
+#: Groups of scan partitions whose first rows are picked before the last pick: it reads at most so many times the sample.
 PICK_GROUPS = 64
 
 
-def first_rows(rows: DataFrame, by: str, order: Sequence[str], limit: int) -> DataFrame:
-    """The first ``limit`` rows of each value of ``by``, with their rank ``r``.
+def excerpt(text: Column, chars: int, pieces: int = 8) -> Column:
+    """A text of more than ``chars`` code points cut down to pieces spread evenly over its length, from its first to its last."""
+    size = chars // pieces
+    gap = F.char_length(text) - size
+    cut = [F.substr(text, F.floor(gap * i / (pieces - 1)).cast("int") + 1, F.lit(size)) for i in range(pieces)]
+    return F.when(F.char_length(text) <= chars, text).otherwise(F.concat(*cut))
 
-    Each task keeps that many of its own rows, then each group of tasks, then
-    all: the task that ranks a value at last reads at most ``PICK_GROUPS`` x
-    ``limit`` rows, however many tasks the scan has. The columns of ``order``
-    must order the rows totally, but for equal ones.
+
+def sampled(rows: DataFrame, by: str, limit: int) -> DataFrame:
+    """(r, h, t, text) and ``by`` of the first ``limit`` different texts of each value of ``by``, in order of h.
+
+    ``rows`` has ``by``, ``h`` (a hash of the row's id) and ``text``. They are
+    picked by hashes of id and text alone, so that no text is shuffled to be
+    ranked, and then looked up; rows alike in both count once.
     """
-    rank = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    grouped = rows.withColumn("_group", F.spark_partition_id() % PICK_GROUPS)
-    some = grouped.withColumn("_r", rank(by, "_group")).where(F.col("_r") <= limit).drop("_group", "_r")
-    return some.withColumn("r", rank(by)).where(F.col("r") <= limit)
+    narrow = rows.select(by, "h", F.xxhash64("text").alias("t"))
+    rank = lambda *keys: F.dense_rank().over(Window.partitionBy(*keys).orderBy("h", "t"))
+    grouped = narrow.withColumn("_group", F.spark_partition_id() % PICK_GROUPS)
+    some = grouped.withColumn("_r", rank(by, "_group")).where(F.col("_r") <= limit).select(by, "h", "t").distinct()
+    keys = stored(some.withColumn("r", rank(by)).where(F.col("r") <= limit), "sample")
+    found = rows.withColumn("t", F.xxhash64("text")).join(F.broadcast(keys), [by, "h", "t"])
+    return found.select(by, "r", "h", "t", "text")
 
 
 def text_slices(texts: Sequence[str], max_chars: int = 1 << 20) -> Iterator[tuple[int, int]]:

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import json
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -152,6 +153,111 @@ def test_op3_equals_brute_force_base_and_odd_rows(spark):
     assert secrets.scan(odd.limit(0), secrets.fit(odd.limit(0)), ["doc_id"]).count() == 0
 
 
+def base_by_hand(text):
+    """The base spans without regular expressions, character by character."""
+    plain = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-")
+    run = lambda at, chars: next((i for i in range(at, len(text)) if text[i] not in chars), len(text))
+    low = "".join(c.lower() if c.isascii() else c for c in text)
+    out, at = [], 0
+    while at < len(text):
+        end = None
+        for name in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if low.startswith(name, at):
+                i = at + len(name)
+                i += i < len(text) and text[i] in "\"'"
+                i = run(i, " ")
+                if i < len(text) and text[i] in ":=":
+                    i = run(i + 1, " ")
+                    i += i < len(text) and text[i] in "\"'"
+                    stop = run(i, plain)
+                    if stop > i:
+                        end = stop
+                        if stop - i >= 6:
+                            out.append((at, 0, stop))
+                        break
+        at = end or at + 1
+    for start, kind, chars, least in (("AKIA", 1, set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 20), ("", 2, set("0123456789abcdef"), 24)):
+        at = 0
+        while at < len(text):
+            stop = run(at + len(start), chars) if text.startswith(start, at) else at
+            if stop > at + len(start):
+                if stop - at >= least:
+                    out.append((at, kind, stop))
+                at = stop
+            else:
+                at += 1
+    return sorted(out)
+
+
+def test_base_spans_by_hand():
+    rng = random.Random(12)
+    bits = ["password", "PASSWD", "secret", "token", "api_key", "ApiKey", "=", ":", " ", "  ", '"', "'", "AKIA", "A1B2C3D4E5F6G7H8", "0123456789abcdef" * 2, "abcdef", "é", "\n", "ſ", "x", "a/b+c=d", "deadbeef"]
+    for _ in range(3000):
+        text = "".join(rng.choices(bits, k=rng.randint(0, 12)))
+        assert secrets.base_spans(text) == base_by_hand(text)
+
+
+NAMES = ["credential", "auth_key", "Bearer", "private key", "ACCESS", "client-id", "pw", "signing_salt", "GH_PAT"]
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+VALUES = [LETTERS + LETTERS.upper() + "23456789", LETTERS.upper() + "234567", LETTERS + "0123456789", LETTERS + LETTERS.upper() + "0123456789+/"]
+
+
+@pytest.fixture(scope="module")
+def planted_secrets(spark):
+    """Documents with a secret that the patterns miss in every eighth, and the scan of them all, whole query."""
+    rng, rows, planted = random.Random(9), [], {}
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect():
+        text = r.text or ""
+        words = text.split(" ")
+        if r.doc_id % 8 == 0 and len(words) > 5:
+            value = "".join(rng.choices(rng.choice(VALUES), k=rng.randint(20, 40))) + rng.choice("23456789")
+            at = rng.randrange(len(words))
+            with_it = " ".join([*words[:at], rng.choice(NAMES) + rng.choice([' = "%s"', ": %s", " %s", "=%s"]) % value, *words[at:]])
+            if not any(value in with_it[a:b] for a, _, b in secrets.base_spans(with_it)):
+                text, planted[r.doc_id] = with_it, value
+        rows.append((r.doc_id, text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    field = secrets.fit(docs)
+    return dict(rows), planted, {r.doc_id: r.spans for r in secrets.scan(docs, field, ["doc_id"]).collect()}, field
+
+
+def test_planted_secrets_are_found_and_prose_is_left(planted_secrets):
+    texts, planted, spans, _ = planted_secrets
+    found = extra = 0
+    for doc_id, text in texts.items():
+        own = [(int(a), int(b)) for kind, a, b in (s.split(":") for s in spans[doc_id].split(",") if s) if kind == "crf"]
+        at = text.find(planted[doc_id]) if doc_id in planted else None
+        hit = [(a, b) for a, b in own if at is not None and a <= at and at + len(planted[doc_id]) <= b]
+        found += bool(hit)
+        extra += len(own) - len(hit)
+    assert len(planted) > 100 and found >= 0.9 * len(planted)
+    assert extra <= 5e-6 * sum(map(len, texts.values()))  # at most 5 spans in a million code points of prose
+
+
+def test_viterbi_of_whole_texts_without_the_skip(planted_secrets):
+    texts, planted, _, field = planted_secrets
+    tagger = secrets.Tagger(field)
+    some = [texts[i] for i in list(planted)[:40]] + ["", " ", "a", "pw Zk3Jq8Wm5Rt7Yx2Lc9Pv4Bn6"]
+    for text, got in zip(some, tagger.spans(some), strict=True):
+        tokens = secrets.TOKEN.findall(text)
+        f = [secrets.token_features(t) for t in tokens]
+        t = field.tables
+        e = np.zeros((len(tokens), 3))
+        for i in range(len(tokens)):
+            e[i] = t["own"][list(f[i])].sum(axis=0) + field.files[secrets.file_feature(text)]
+            for name, k in (("before", i - 1), ("second", i - 2), ("after", i + 1)):
+                if 0 <= k < len(tokens):
+                    e[i] += t[name][list(f[k][:2])].sum(axis=0)
+        want = []
+        if len(tokens):
+            tags, ends = tagger.viterbi(e, False, False), np.cumsum([len(x) for x in tokens])
+            for i, j in secrets.tagged_runs(tags):
+                start, end = int(ends[i]) - len(tokens[i].lstrip()), int(ends[j - 1])
+                if sum(e[k, tags[k]] - e[k, secrets.OUTSIDE] for k in range(i, j)) >= secrets.MARGIN and end - start >= secrets.MIN_SPAN:
+                    want.append((start, end))
+        assert got == want
+
+
 # ------------------------------------------------------------ language ID
 
 
@@ -267,13 +373,98 @@ def test_quality_of_odd_rows(spark):
     assert quality.scored(odd.limit(0), quality.fit([], []), ["doc_id"]).count() == 0
 
 
-def test_sample_is_the_first_rows_of_each_value(spark, monkeypatch):
+def test_sample_is_the_first_different_rows_of_each_value(spark, monkeypatch):
     monkeypatch.setattr(shared, "PICK_GROUPS", 3)
-    rows = spark.range(0, 3000, numPartitions=17).selectExpr("IF(id % 3 = 0, NULL, id % 3) AS k", "id * 7919 % 101 AS h", "CAST(id % 5 AS STRING) AS text")
-    got = [tuple(r) for r in shared.first_rows(rows, "k", ["h", "text"], 40).select("k", "r", "h", "text").collect()]
-    want = []
-    for k in (None, 1, 2):
-        own = sorted((i * 7919 % 101, str(i % 5)) for i in range(3000) if (i % 3 or None) == k)[:40]
-        want += [(k, r + 1, *row) for r, row in enumerate(own)]
-    assert sorted(got, key=str) == sorted(want, key=str)
-    assert shared.first_rows(rows.limit(0), "k", ["h", "text"], 40).count() == 0
+    rows = spark.range(0, 3000, numPartitions=17).selectExpr("id % 3 AS k", "id * 7919 % 101 AS h", "CAST(id % 5 AS STRING) AS text")
+    hot = spark.range(1500).selectExpr("CAST(1 AS BIGINT) AS k", "CAST(0 AS BIGINT) AS h", "'hot' AS text")  # one id with a third of the rows
+    both = rows.unionByName(hot)
+    got = {tuple(r) for r in shared.sampled(both, "k", 40).select("k", "r", "h", "text").collect()}
+    names = {r.text: r.t for r in both.select("text", shared.F.xxhash64("text").alias("t")).distinct().collect()}
+    want = set()
+    for k in range(3):
+        own = {(i * 7919 % 101, names[str(i % 5)], str(i % 5)) for i in range(3000) if i % 3 == k} | ({(0, names["hot"], "hot")} if k == 1 else set())
+        want |= {(k, r + 1, h, text) for r, (h, _, text) in enumerate(sorted(own)[:40])}
+    assert got == want
+    assert shared.sampled(rows.limit(0), "k", 40).count() == 0
+
+
+def test_excerpts_are_spread_over_the_text(spark):
+    text = "".join(chr(0x4E00 + i) for i in range(5000))
+    row = spark.createDataFrame([(text, "short", None, "")], "a string, b string, c string, d string").select(*[shared.excerpt(shared.F.col(c), 800) for c in "abcd"]).first()
+    assert len(row[0]) == 800 and row[0][:100] == text[:100] and row[0][-100:] == text[-100:] and set(row[0]) <= set(text)
+    assert tuple(row)[1:] == ("short", None, "")
+    assert quality.spread(text.encode(), 1200)[:10] == text.encode()[:10] and len(quality.spread(b"ab" * 999, 500)) <= 500
+
+
+def test_dictionary_has_a_share_of_every_text(monkeypatch):
+    monkeypatch.setattr(quality, "DICTIONARY_BYTES", 3000)
+    texts = [chr(97 + i) * n for i, n in enumerate([0, 5, 100, 5000, 90000])]
+    made = quality.dictionary(texts)
+    assert len(made) <= 3000 and [made.count(c) for c in b"abc"] == [0, 5, 100] and made.count(b"d") >= 1400 and made.count(b"e") >= 1400
+
+
+def test_a_sampled_id_is_one_text(spark):
+    docs = spark.createDataFrame([(1, "hot text")] * 300 + [(1, "other text"), (2, "two")], "doc_id long, text string")
+    good, bad = quality.sample(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"))
+    assert len(good) == 1 and good[0] in ("hot text", "other text") and bad == ["two"]
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2"):
+        language_id.fit(spark.createDataFrame([("a", "x", 1), ("b", "y", 2), ("c", "z", 3)], "text string, lang string, id long"))
+
+
+def test_language_by_hand():
+    """TF-IDF, the nearest centroid and its cosine in plain Python."""
+    rng = random.Random(4)
+    vocab = {"aa": ["the", "house", "running", "green"], "bb": ["éau", "maison", "vert", "courir"], "cc": ["haus", "grün", "laufen", "über"]}
+    text = lambda lang, n: " ".join(rng.choices(vocab[lang], k=n)) + rng.choice([".", "!", " 42"])
+    model = language_id.Model([(text(lang, rng.randint(5, 40)), lang) for lang in vocab for _ in range(30)])
+
+    def vector(t):
+        low = "".join(c if "a" <= c <= "z" or (ord(c) >= 128 and c.isalpha()) else "\0" for c in t.lower())
+        kept = "\0" + "".join(c for i, c in enumerate(low) if c != "\0" or (i > 0 and low[i - 1] != "\0")) + "\0"
+        kept = re.sub("\0+", "\0", kept)
+        counts = {}
+        for n in (1, 2, 3):
+            for i in range(len(kept) - n + 1):
+                code = 0
+                for c in kept[i : i + n]:
+                    code = (code << 21 | ord(c)) % 2**64
+                key = int(shared.mix64(np.array([(code + (n << 60)) % 2**64], np.uint64))[0]) % language_id.BUCKETS
+                counts[key] = counts.get(key, 0) + 1
+        v = {k: np.log1p(c) * float(model.idf[k]) for k, c in counts.items()}
+        size = sum(x * x for x in v.values()) ** 0.5
+        return {k: x / size for k, x in v.items()}
+
+    for lang in vocab:
+        for n in (1, 3, 30):
+            t = text(lang, n)
+            v = vector(t)
+            cosines = [sum(x * float(c[k]) for k, x in v.items()) for c in model.centroids]
+            best = int(np.argmax(cosines))
+            (pred, score, _), = model.predict([t])
+            assert pred == model.langs[model.of[best]] and abs(score - cosines[best]) < 1e-4
+
+
+def test_quality_by_hand():
+    """The size difference of each piece, compressed anew with a fresh compressor."""
+    import zstandard
+
+    good, bad = [f"careful words about topic {i} " * 9 for i in range(30)], [f"buy now!!! click {i} $$$ " * 9 for i in range(30)]
+    scorer = quality.fit(good, bad)
+
+    def size(content, piece):
+        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        held.precompute_compress(level=quality.LEVEL)
+        return len(zstandard.ZstdCompressor(dict_data=held, write_content_size=False).compress(piece))
+
+    for text in [good[0], bad[0], "é" * 3000, "x", "careful words!!! " * 200]:
+        raw = text.encode()
+        pieces = [raw[i : i + 1024] for i in range(0, len(raw), 1024)]
+        want = sum(size(scorer.bad, p) - size(scorer.good, p) for p in pieces) / len(raw)
+        assert scorer.difference(text) == want
+        w, c = scorer.curve
+        assert abs(scorer.score(text) - 1 / (1 + np.exp(-np.clip(w * want + c, -30, 30)))) < 1e-12
+    assert scorer.score(good[1]) > 0.5 > scorer.score(bad[1])

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pagetrail.llm import embedding_dedup, minhash_dedup, url_filter, warc
@@ -263,6 +264,58 @@ def test_estimates_are_never_too_low_by_more_than_their_bound():
     assert (np.abs(estimate - cosine) <= np.sqrt((1 / f**2 - 1) * np.maximum(0, 1 - cosine**2)) + 1e-9).all()
 
 
+def near_vectors(n, dim, seed):
+    """Random vectors, every third near an earlier one; cosines around the threshold."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, dim))
+    for i in range(0, n, 3):
+        x[i] = x[rng.integers(0, i + 1)] + rng.standard_normal(dim) * rng.choice([0.02, 0.1, 0.2, 0.3])
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def test_codes_leave_every_link_open(spark):
+    x = near_vectors(400, 48, 2)
+    classes = spark.createDataFrame([(i, 1, "l", v.tolist()) for i, v in enumerate(x)], "rep long, n long, label string, vector array<double>")
+    rows = embedding_dedup.coded(classes, 0, 1).orderBy("rep").toArrow()
+    n = len(x)
+    for split in (False, True):
+        blocks = np.arange(n) % 2 if split else np.zeros(n, int)
+        fixed = {"low": np.zeros(n, int), "high": np.full(n, int(split)), "table": np.zeros(n, int), "block": blocks}
+        block = rows
+        for name, values in fixed.items():
+            block = block.append_column(name, pa.array(values))
+        pairs = {(min(p), max(p)) for p in zip(*(k.tolist() for k in embedding_dedup.open_pairs(block, 0.98)), strict=True)}
+        links = {(i, j) for i, j in zip(*np.nonzero(np.triu(x @ x.T >= 0.98, 1))) if not split or (i - j) % 2}
+        assert links <= pairs and len(pairs) < 0.1 * n * n and len(links) > 30
+        exact = {(min(p), max(p)) for p in zip(*(k.tolist() for k in embedding_dedup.linked_in(block, 0.98)), strict=True)}
+        assert exact == links
+
+
+def test_recall_in_many_tables(spark, monkeypatch):
+    """Thousands of rows a label, so that buckets have bits and there are many tables."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 64)
+    x = near_vectors(5000, 32, 3)
+    assert embedding_dedup.tables_for(len(x) // 2)[0] >= 5
+    df = spark.createDataFrame([(i, v.tolist(), i % 2) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df, "vec_id", "embedding", "label").collect()}
+    same = (x @ x.T >= 0.98) & (np.arange(5000)[:, None] % 2 == np.arange(5000) % 2)
+    np.fill_diagonal(same, False)
+    want = same.sum(axis=1)
+    assert want.sum() > 800 and all(got[i] == want[i] for i in range(5000))
+
+
+def test_vectors_are_fetched_for_open_pairs_only(spark, monkeypatch):
+    """What is dealt to the pairs of blocks holds no vector."""
+    rows = near_vectors(50, 64, 4)
+    classes = spark.createDataFrame([(i, 1, "l", v.tolist()) for i, v in enumerate(rows)], "rep long, n long, label string, vector array<double>")
+    seen, own = [], embedding_dedup.stored
+    monkeypatch.setattr(embedding_dedup, "stored", lambda df, name: (seen.append((name, df._jdf.queryExecution().optimizedPlan().toString())), own(df, name))[1])
+    codes = own(embedding_dedup.coded(classes, 0, 1), "codes")
+    embedding_dedup.compare_blocks(codes, 0.98)
+    survey = next(plan for name, plan in seen if name == "open")
+    assert "rough" in survey and "unit" not in survey.split("Relation")[0]
+
+
 # ------------------------------------------------------------------- urls
 
 

@@ -57,6 +57,9 @@ class Layout:
 
 LAYOUTS = (
     Layout("turn_row", ("role", "text", "turn"), (("@role", ("text",)),), order="turn"),
+    Layout("turn_message", ("message.content", "message.role", "turn"), (("@message.role", ("message.content",)),), order="turn"),
+    Layout("turn_from_value", ("from", "turn", "value"), (("@from", ("value",)),), order="turn", roles=ROLE_NAMES),
+    Layout("turn_parts", ("parts[].text", "role", "turn"), (("@role", ("parts[].text",)),), order="turn"),
     Layout("messages", ("messages[].content", "messages[].role"), (("@role", ("content",)),), ("id", "source"), each="messages"),
     Layout("message_parts", ("messages[].content[].text", "messages[].role"), (("@role", ("content[].text",)),), ("id", "messages[].content[].type"), each="messages"),
     Layout("from_value", ("conversations[].from", "conversations[].value"), (("@from", ("value",)),), ("id", "source"), each="conversations", roles=ROLE_NAMES),
@@ -242,8 +245,27 @@ def read_back(segments: DataFrame) -> DataFrame:
     return ordered.mapInArrow(read, READ_SCHEMA)
 
 
+def records_of(rows: DataFrame) -> DataFrame:
+    """(conv_id, record) of rows (conv_id, turn, role, text): JSON of a row each, in one of four layouts by conversation.
+
+    Roles that another layout would write in words of its own stay as they are.
+    """
+    json_of = lambda *fields: F.to_json(F.struct("turn", *fields), {"ignoreNullFields": "false"})
+    half = F.floor(F.char_length("text") / 2).cast("int")
+    parts = F.array(*[F.struct(t.alias("text")) for t in (F.substr("text", F.lit(1), half), F.substr("text", half + 1))])
+    kind = F.pmod(F.xxhash64("conv_id"), F.lit(4))
+    named = F.when(F.col("role") == "user", "human").when(F.col("role") == "assistant", "gpt")
+    record = (
+        F.when(kind == 1, json_of(F.struct("role", F.col("text").alias("content")).alias("message")))
+        .when((kind == 2) & named.isNotNull(), json_of(named.alias("from"), F.col("text").alias("value")))
+        .when(kind == 3, json_of("role", parts.alias("parts")))
+        .otherwise(json_of("role", "text"))
+    )
+    return rows.select("conv_id", record.alias("record"))
+
+
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations and the planted one, formatted and read back."""
+    """All conversations and the planted one, as records of four layouts, made canonical, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     planted = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"),
@@ -251,9 +273,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(PLANTED).alias("text"),
     )
-    record = F.to_json(F.struct("turn", "role", "text"), {"ignoreNullFields": "false"})
-    records = rows.unionByName(planted).select("conv_id", record.alias("record"))
-    return read_back(format_turns(canonical_turns(records, "conv_id", "record")))
+    return read_back(format_turns(canonical_turns(records_of(rows.unionByName(planted)), "conv_id", "record")))
 
 
 OP1_SQL = r"""

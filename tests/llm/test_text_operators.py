@@ -50,6 +50,16 @@ def test_heterogeneous_layouts_become_turns(spark):
     assert [(r.layout, r.text) for r in got if r.id in (6, 7, 8, 9)] == [(None, None)] * 4
 
 
+def test_rows_of_all_layouts_come_back(spark):
+    rows = [(k, t, r, x) for k in range(40) for t, (r, x) in enumerate([("user", "héllo"), ("assistant", "o"), ("tool", "🙂ab"), (None, None), ("human", ""), ("user", None)])]
+    df = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, record string")
+    got = chat.canonical_turns(chat.records_of(df), "conv_id", "record").collect()
+    assert sorted((r.id, r.turn, r.role, r.text) for r in got) == sorted((k, t, r or "", x or "") for k, t, r, x in rows)
+    assert {r.layout for r in got} == {"turn_row", "turn_message", "turn_from_value", "turn_parts"}
+    none = chat.read_back(chat.format_turns(chat.canonical_turns(chat.records_of(df.limit(0)), "conv_id", "record")))
+    assert none.collect() == []
+
+
 def test_escapes_come_back(spark):
     rows = [(1, 0, "user", "<|im_end|>\n<|im_start|>x"), (1, 1, "assistant", "<\\|a <\\\\| <|"), (1, 2, "a\nb<|", None), (2, None, None, ""), (None, 0, "user", "n")]
     df = spark.createDataFrame(rows, "id long, turn long, role string, text string")

@@ -71,14 +71,15 @@ def keyed_upsert(
     else:
         rows = upd
     counted = [F.sum(F.col("__counted")).cast("long").alias(count_as)] if count_as else []
-    if target is None and not any(upd.schema[c].nullable for c in carried):
+    whole = not any(upd.schema[c].nullable for c in carried)
+    if whole and not count_as and (target is None or _same_whole_cells(tgt, upd, kept, carried)):
         # No cell can be absent, so every cell of a key comes from the same
         # winning put: pick whole puts, not one arg-max per cell.
-        if not count_as:
-            # row_number = 1 per key, cut to one row per key and task
-            # before the shuffle (partial WindowGroupLimit).
-            best = top_per_group(upd, keys, [(v, "desc") for v in version], n=1, rank_col=None)
-            return best.select(*keys, *carried)
+        # row_number = 1 per key, cut to one row per key and task
+        # before the shuffle (partial WindowGroupLimit).
+        best = top_per_group(rows, keys, [(v, "desc") for v in (_BATCH, *version)], n=1, rank_col=None)
+        return best.select(*keys, *all_cells)
+    if target is None and whole:
         # With a count the winner is a struct max next to the sum, both
         # partial-aggregated map-side.
         payload = [*version, *[c for c in carried if c not in version]]
@@ -92,6 +93,12 @@ def keyed_upsert(
     return rows.groupBy(*keys).agg(*merged, *counted)
 
 
+def _same_whole_cells(target: DataFrame, updates: DataFrame, kept: Sequence[str], carried: Sequence[str]) -> bool:
+    """Whether target rows and puts carry the same cells, of the same types and never null."""
+    of = lambda df, cells: {c: df.schema[c].dataType for c in cells}
+    return of(target, kept) == of(updates, carried) and not any(target.schema[c].nullable for c in kept)
+
+
 def multi_get(
     table: DataFrame,
     keys: DataFrame,

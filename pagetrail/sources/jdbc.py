@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -96,7 +97,7 @@ def read_jdbc_auto(
     ``ceil(count / rows_per_partition)`` disjoint ranges of that column.
     ``column`` and ``table`` are plain names (the table's may be qualified),
     as they become part of that query's text. The ranges are equally wide, so
-    a value that holds much of the table is one range; choose another column then.
+    a value that holds much of the table is one range; see ``split_predicates`` for keys dealt unevenly.
     """
     if not _NAME.fullmatch(column) or not all(map(_NAME.fullmatch, table.split("."))):
         raise ValueError(f"not plain names: {column!r}, {table!r}")
@@ -121,3 +122,49 @@ def read_jdbc_auto(
         properties=properties,
         fetch_size=fetch_size,
     )
+
+
+def split_predicates(keys: DataFrame, column: str, second: str, rows_per_partition: int = DEFAULT_ROWS_PER_PARTITION) -> list[str]:
+    """Disjoint conditions that deal a table into parts of about ``rows_per_partition`` rows, however uneven ``column`` is.
+
+    ``keys`` holds the two numeric columns of the table (read from it, or from an
+    index or copy). The ranges of ``column`` end at its quantiles. A value that
+    would fill more than one range is a part of its own, split at quantiles of
+    ``second``. Every row fulfils just one condition; nulls have conditions of
+    their own. What reaches the driver are the quantiles.
+    """
+    if not all(map(_NAME.fullmatch, (column, second))):
+        raise ValueError(f"not plain names: {column!r}, {second!r}")
+    parts = partitions_for(keys.count(), rows_per_partition)
+    found = [f"{column} IS NULL"]
+    lower = f"{column} IS NOT NULL"
+    for point, times in _quantiles(keys, column, parts):
+        found.append(f"{lower} AND {column} < {point}")
+        if times < 2:
+            lower = f"{column} >= {point}"
+            continue
+        lower, hot = f"{column} > {point}", f"{column} = {point}"
+        own = keys.where(hot)
+        found.append(f"{hot} AND {second} IS NULL")
+        at_least = f"{hot} AND {second} IS NOT NULL"
+        for cut, _ in _quantiles(own, second, partitions_for(own.count(), rows_per_partition)):
+            found.append(f"{at_least} AND {second} < {cut}")
+            at_least = f"{hot} AND {second} >= {cut}"
+        found.append(at_least)
+    return [*found, lower]
+
+
+def _quantiles(keys: DataFrame, column: str, parts: int) -> list[tuple[int | float, int]]:
+    """The values that cut ``column`` into ``parts`` equal parts, with how many of the cuts fall on each."""
+    if parts < 2:
+        return []
+    kind = int if keys.schema[column].dataType.typeName() in ("byte", "short", "integer", "long") else float
+    cuts = keys.approxQuantile(column, [i / parts for i in range(1, parts)], 1 / (8 * parts))
+    return sorted(Counter(map(kind, cuts)).items())
+
+
+def read_jdbc_split(
+    spark: SparkSession, url: str, table: str, predicates: list[str], properties: dict[str, str] | None = None, fetch_size: int = 10_000
+) -> DataFrame:
+    """Parallel read: a partition for each of ``split_predicates``."""
+    return spark.read.jdbc(url, table, predicates=predicates, properties={"fetchsize": str(fetch_size), **(properties or {})})

@@ -3,6 +3,7 @@ import os
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from pagetrail import sinks
 from pagetrail.operators.keyed import range_scan
@@ -15,6 +16,7 @@ from pagetrail.sources import (
     read_pageview_parquet,
     read_pageview_tsv,
     read_points_text,
+    split_predicates,
 )
 
 
@@ -102,3 +104,18 @@ def test_jdbc_auto_takes_plain_names_only(spark):
 def test_jdbc_partition_count():
     assert partitions_for(0) == 1 and partitions_for(50_000) == 1 and partitions_for(50_001) == 2
     assert partitions_for(120_000, 50_000) == 3
+
+
+@pytest.mark.parametrize("hot", [0, 1, 600])
+def test_split_predicates_deal_each_row_once_and_evenly(spark, hot):
+    """A value with a third of the rows is split by the second column, and nulls are not lost."""
+    rows = [(i % 89 - 40, i) for i in range(1200)] + [(7, i) for i in range(hot)] + [(None, 1), (None, None), (7, None), (3, None)]
+    keys = spark.createDataFrame(rows, "k int, s long").repartition(3)
+    found = split_predicates(keys, "k", "s", rows_per_partition=100)
+    counts = keys.select(*[F.count_if(F.coalesce(F.expr(p), F.lit(False))).alias(str(i)) for i, p in enumerate(found)]).first()
+    matches = keys.select(sum(F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in found).alias("n")).distinct().collect()
+    assert [r.n for r in matches] == [1] and sum(counts) == len(rows)
+    assert max(counts) <= 200 and any("k = 7 AND" in p for p in found) == (hot > 1)
+    assert split_predicates(keys.limit(0), "k", "s") == ["k IS NULL", "k IS NOT NULL"]
+    with pytest.raises(ValueError):
+        split_predicates(keys, "k; DROP", "s")

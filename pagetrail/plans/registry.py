@@ -117,7 +117,8 @@ def _urls_of_guid_day_stored(spark: SparkSession, sf: str) -> DataFrame:
 
 def _ingested(spark: SparkSession, sf: str) -> DataFrame:
     rows, _ = ingest.split_tsv(spark, fixtures.pageview_lines(spark, sf))
-    return rows.where("NOT rejected").select("guid", "timeCreate", "cookieCreate", "domain", "path", "ip", "category")
+    wall = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("timeCreate", "cookieCreate")]
+    return rows.where("NOT rejected").select("guid", *wall, "domain", "path", "ip", "category")
 
 
 def _reput(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,7 +5,11 @@ from pagetrail.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # Answers that fit a model or store a table while they are built.
-EAGER = ("kmeans_centers", "kmeans_assign", "kv_ips_of_guid_stored", "kv_upsert_pageview_stored")
+# These fit a model or store a table before they answer.
+EAGER = (
+    "kmeans_centers", "kmeans_assign", "kmeans_certificate", "kmeans_fit_from", "kv_ips_of_guid_stored", "kv_upsert_pageview_stored",
+    "kv_upsert_pageview_bucketed", "kv_get_hours_stored", "kv_urls_of_guid_day_stored", "emp_salaries_page", "pv_report", "pv_ingest_counts", "pv_ingest_rows",
+)
 
 
 def _plan(df):

@@ -6,8 +6,8 @@ a later put replaces the cells it carries and leaves the others as they were.
 
 * ``keyed_upsert`` — merge a batch of puts into a table (or build one).
   Per cell: ``max_by(cell, order)`` over the puts that carry the cell, one
-  aggregation on the key. When no cell can be absent the winner is a whole
-  put: ``row_number() = 1`` per key. Both combine map-side before the
+  aggregation on the key. When no cell can be absent, in the target either, the
+  winner is a whole put: ``row_number() = 1`` per key. Both combine map-side before the
   shuffle (partial aggregation / partial WindowGroupLimit), so a key that
   owns a third of all rows never lands whole in one task.
 * ``multi_get`` — look up a set of keys (with multiplicity) and project cells.
@@ -77,7 +77,8 @@ def keyed_upsert(
         # winning put: pick whole puts, not one arg-max per cell.
         # row_number = 1 per key, cut to one row per key and task
         # before the shuffle (partial WindowGroupLimit).
-        best = top_per_group(rows, keys, [(v, "desc") for v in (_BATCH, *version)], n=1, rank_col=None)
+        order = version if target is None else [_BATCH, *version]
+        best = top_per_group(rows, keys, [(v, "desc") for v in order], n=1, rank_col=None)
         return best.select(*keys, *all_cells)
     if target is None and whole:
         # With a count the winner is a struct max next to the sum, both
